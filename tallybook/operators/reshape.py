@@ -39,8 +39,9 @@ def map_to_columns(
     map_col: str,
     keys: Sequence[str] | None = None,
     required: Sequence[str] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One string column per map key, replacing a column of the same name.
+    """One string column per map key, replacing a column of the same name unless in ``keep``.
 
     With ``keys`` given nothing is run ahead. Without, one job gathers the key names, which
     become the schema; more names than a table can have columns is an error. ``required``
@@ -51,7 +52,7 @@ def map_to_columns(
         if len(rows) > MAX_COLUMNS:
             raise ValueError(f"{map_col} has over {MAX_COLUMNS} keys; name the wanted keys")
         keys = sorted(r["key"] for r in rows)
-    names = list(dict.fromkeys([*keys, *required]))
+    names = [k for k in dict.fromkeys([*keys, *required]) if k not in keep]
     kept = [quoted(c) for c in df.columns if c not in names]
     values = [F.try_element_at(quoted(map_col), F.lit(k)).alias(k) for k in names]
     return df.select(*kept, *values)

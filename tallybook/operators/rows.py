@@ -60,17 +60,20 @@ def find_unseen(
 
     1. Keys of both sides are made unique before they are shuffled (copies combine
        map-side), so a row that fills a third of a table is one key here. Only 32 bytes a
-       distinct row cross the network, not the rows. The unseen keys with their number of
-       copies go to the shared scratch folder.
+       distinct row cross the network, not the rows; and when the source is small, its keys
+       are broadcast to the target's scan and only the target's matches are shuffled. The
+       unseen keys with their number of copies go to the shared scratch folder.
     2. The source's rows are matched with the unseen keys: by broadcast when there are few,
        as after a normal day; else by a shuffle in which keys with many copies are split.
     """
     keyed = with_row_key(source, mode)
     if prune_on is not None:
         target = within_range_of(target, source, prune_on)
-    known = with_row_key(target, mode).select(KEY).distinct()
+    known = with_row_key(target, mode).select(KEY)
+    if source.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        known = known.join(F.broadcast(keyed.select(KEY)), KEY, "left_semi")
     copies = keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_copies"))
-    unseen = copies.join(known, KEY, "left_anti")
+    unseen = copies.join(known.distinct(), KEY, "left_anti")
 
     found = Observation("unseen keys")
     path = scratch_path(source.sparkSession, "unseen")

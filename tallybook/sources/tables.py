@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,12 +77,9 @@ def load_view(
     spark: SparkSession, ref: TableRef, prefix: str | None = None, required: bool = False
 ) -> DataFrame | None:
     """A table that may be missing: ``None`` unless ``required``; columns prefixed on request."""
-    try:
-        df = read_table(spark, ref)
-    except (AnalysisException, FileNotFoundError):
-        if required:
-            raise
+    if not required and not table_exists(spark, ref):
         return None
+    df = read_table(spark, ref)
     return df if prefix is None else df.withColumnsRenamed({c: f"{prefix}_{c}" for c in df.columns})
 
 
