@@ -20,13 +20,11 @@ def select_available(
     df: DataFrame, expected: Iterable[str], fill_missing: bool = False
 ) -> DataFrame:
     """The expected columns that exist, in expected order; missing ones as NULL on request."""
-    columns = []
-    for name in expected:
-        if name in df.columns:
-            columns.append(quoted(name))
-        elif fill_missing:
-            columns.append(F.lit(None).cast("string").alias(name))
-    return df.select(*columns)
+    present = set(df.columns)
+    wanted = [name for name in expected if fill_missing or name in present]
+    return df.selectExpr(
+        *[f"`{n}`" if n in present else f"CAST(NULL AS STRING) AS `{n}`" for n in wanted]
+    )
 
 
 def map_key_set(df: DataFrame, map_col: str) -> DataFrame:

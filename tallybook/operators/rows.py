@@ -6,12 +6,12 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions import KEY, row_key
 from tallybook.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, split_join
-from tallybook.session import scratch_path
+from tallybook.session import materialise
 
 
 def union_sources(sources: Iterable[DataFrame | None]) -> DataFrame | None:
@@ -41,11 +41,10 @@ def within_range_of(target: DataFrame, source: DataFrame, column: str) -> DataFr
 
 @dataclass(frozen=True)
 class Unseen:
-    """Rows of a source that a target lacks, with the number of them and of distinct ones."""
+    """Rows of a source that a target lacks, with their keys, and the number of them."""
 
     rows: DataFrame
     row_count: int
-    key_count: int
 
 
 def find_unseen(
@@ -53,42 +52,52 @@ def find_unseen(
     target: DataFrame,
     mode: str = "strict",
     prune_on: str | None = None,
-    broadcast_keys: int = BROADCAST_ROWS,
+    small_rows: int = BROADCAST_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Unseen:
-    """Find the rows by their keys first, then fetch only those.
+    """Rows of ``source`` whose content ``target`` does not hold, copies included."""
+    keyed = with_row_key(source, mode)
+    if prune_on is not None:
+        target = within_range_of(target, source, prune_on)
+    known = with_row_key(target, mode).select(KEY)
+    if source.limit(small_rows + 1).count() <= small_rows:
+        return _unseen_of_small(keyed, known)
+    return _unseen_of_large(keyed, known, small_rows, rows_per_task)
+
+
+def _unseen_of_small(keyed: DataFrame, known: DataFrame) -> Unseen:
+    """A source whose keys can be broadcast is hashed once, into the scratch folder.
+
+    The target is scanned once and in place: of its keys only those of the source go on,
+    which are no more than the source has rows, and those are broadcast back.
+    """
+    keyed, row_count = materialise(keyed, "source")
+    if row_count == 0:
+        return Unseen(keyed, 0)
+    matched = known.join(F.broadcast(keyed.select(KEY)), KEY, "left_semi").distinct()
+    return Unseen(*materialise(keyed.join(F.broadcast(matched), KEY, "left_anti"), "unseen"))
+
+
+def _unseen_of_large(
+    keyed: DataFrame, known: DataFrame, small_rows: int, rows_per_task: int
+) -> Unseen:
+    """Find the unseen keys first, then fetch only their rows.
 
     1. Keys of both sides are made unique before they are shuffled (copies combine
        map-side), so a row that fills a third of a table is one key here. Only 32 bytes a
-       distinct row cross the network, not the rows; and when the source is small, its keys
-       are broadcast to the target's scan and only the target's matches are shuffled. The
-       unseen keys with their number of copies go to the shared scratch folder.
+       distinct row cross the network, not the rows. The unseen keys with their number of
+       copies go to the scratch folder.
     2. The source's rows are matched with the unseen keys: by broadcast when there are few,
        as after a normal day; else by a shuffle in which keys with many copies are split.
     """
-    keyed = with_row_key(source, mode)
-    if prune_on is not None:
-        target = within_range_of(target, source, prune_on)
-    known = with_row_key(target, mode).select(KEY)
-    if source.limit(broadcast_keys + 1).count() <= broadcast_keys:
-        known = known.join(F.broadcast(keyed.select(KEY)), KEY, "left_semi")
-    copies = keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
     unseen = copies.join(known.distinct(), KEY, "left_anti")
-
-    found = Observation("unseen keys")
-    path = scratch_path(source.sparkSession, "unseen")
-    unseen.observe(
-        found,
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-    ).write.parquet(path)
-    key_count, row_count = found.get["keys"], found.get["rows"]
-
-    if key_count == 0:
-        return Unseen(keyed.limit(0), 0, 0)
-    counted = source.sparkSession.read.schema(unseen.schema).parquet(path)
+    counted, key_count = materialise(unseen, "unseen-keys")
+    row_count = counted.agg(F.sum("_rows")).first()[0] or 0
+    if row_count == 0:
+        return Unseen(keyed.limit(0), 0)
     keys = counted.select(KEY)
-    if key_count <= broadcast_keys:
+    if key_count <= small_rows:
         rows = keyed.join(F.broadcast(keys), KEY, "left_semi")
     else:
         rows = split_join(
@@ -97,10 +106,10 @@ def find_unseen(
             [KEY],
             "inner",
             rows_per_task,
-            left_counts=counted.select(KEY, F.col("_copies").alias("_rows")),
+            left_counts=counted,
             right_counts=keys.withColumn("_rows", F.lit(1)),
         )
-    return Unseen(rows.select(*keyed.columns), row_count, key_count)
+    return Unseen(rows.select(*keyed.columns), row_count)
 
 
 def new_rows(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,12 +52,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tallybook/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back.
+def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once to the shared scratch folder; return it read back, and its row count.
 
     Cuts the lineage, survives the loss of executors, and gives the reader real sizes to
-    plan joins with.
+    plan joins with. The write counts the rows itself.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = Observation(label)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]
