@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions import KEY, row_key
-from tallybook.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, split_join
+from tallybook.operators.joins import ROWS_PER_TASK, split_join
 from tallybook.session import materialise
 
 
+# So many keys are 32 MB; they are all that is broadcast of a table's rows.
+BROADCAST_KEYS = 1_000_000
+
+
 def union_sources(sources: Iterable[DataFrame | None]) -> DataFrame | None:
     """Bag union by column name; columns a source lacks are NULL, absent sources are skipped."""
     present = [s for s in sources if s is not None]
@@ -52,7 +56,7 @@ def find_unseen(
     target: DataFrame,
     mode: str = "strict",
     prune_on: str | None = None,
-    small_rows: int = BROADCAST_ROWS,
+    small_rows: int = BROADCAST_KEYS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Unseen:
     """Rows of ``source`` whose content ``target`` does not hold, copies included."""
