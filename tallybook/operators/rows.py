@@ -110,8 +110,8 @@ def _unseen_of_large(
             [KEY],
             "inner",
             rows_per_task,
-            left_counts=counted,
-            right_counts=keys.withColumn("_rows", F.lit(1)),
+            left_keys=counted,
+            right_keys=keys.limit(0),
         )
     return Unseen(rows.select(*keyed.columns), row_count)
 
