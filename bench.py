@@ -14,20 +14,27 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import DataFrame, Observation  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tallybook.checks.registered import HOSTS, Inputs  # noqa: E402
+from tallybook.checks.registered import (  # noqa: E402
+    HOSTS,
+    QUERIES,
+    Inputs,
+    _asset_views,
+    _model_tables,
+    _users,
+)
 from tallybook.checks.views import TABLES, VIEWS  # noqa: E402
-from tallybook.operators.rows import find_unseen, new_rows, union_sources  # noqa: E402
+from tallybook.operators.rows import new_rows  # noqa: E402
 from tallybook.plans.assets import asset_metadata, volume_assets  # noqa: E402
 from tallybook.plans.compute import compute_policy  # noqa: E402
 from tallybook.plans.consolidation import consolidate_table  # noqa: E402
 from tallybook.plans.landing import append_new, land_catalog, land_table  # noqa: E402
+from tallybook.plans.models import model_versions  # noqa: E402
 from tallybook.plans.reconcile import reconcile  # noqa: E402
 from tallybook.plans.stats import properties_map, table_properties, table_stats  # noqa: E402
 from tallybook.plans.workspaces import user_inventory, workspace_inventory, workspace_status  # noqa: E402
-from tallybook.checks.registered import QUERIES, _asset_views, _users  # noqa: E402
 from tallybook.session import local_session, scratch_path  # noqa: E402
 from tallybook.sources.registry import registry_of  # noqa: E402
 from tallybook.sources.tables import TableRef, read_table  # noqa: E402
@@ -52,8 +59,6 @@ _WRITTEN: set[str] = set()
 
 def whole(df: DataFrame) -> int:
     """Compute every row and column and throw them away; the count rides along."""
-    from pyspark.sql import Observation
-
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
     return seen.get["rows"]
@@ -84,9 +89,9 @@ def main() -> None:
     inventory = src.landed(
         workspace_inventory(read_table(spark, status), src("fx_usage"), HOSTS), "inventory"
     )
-    props = src.landed(
-        properties_map(src("fx_table_props")), "properties"
-    )
+    props = src.landed(properties_map(src("fx_table_props")), "properties")
+    views = _asset_views(src)
+    model_tables = _model_tables(src)
     registry = registry_of(spark, [src.file(t) for t in TABLES])
 
     def landed(row) -> int:
@@ -115,8 +120,8 @@ def main() -> None:
                 {"orders": read(parties_goal)},
             )
         ),
-        "asset_metadata": lambda: whole(asset_metadata(_asset_views(src))),
-        "asset_metadata_by_name": lambda: whole(asset_metadata(_asset_views(src), match="name")),
+        "asset_metadata": lambda: whole(asset_metadata(views)),
+        "asset_metadata_by_name": lambda: whole(asset_metadata(views, match="name")),
         "volume_assets": lambda: whole(
             volume_assets(src("fx_volumes"), src("fx_volume_tags"), src("fx_volume_privileges"))
         ),
@@ -131,7 +136,7 @@ def main() -> None:
                 src("fx_clusters"), read(inventory), src("fx_cluster_payload"), src("fx_policy_payload")
             )
         ),
-        "model_versions": lambda: whole(QUERIES["versions_of_models"](src)),
+        "model_versions": lambda: whole(model_versions(*model_tables, exclude_schemas=["BUILDING"])),
         "tables_by_schema": lambda: whole(QUERIES["tables_by_schema"](src)),
         "excluded_assets": lambda: whole(QUERIES["excluded_assets"](src)),
     }

@@ -878,9 +878,8 @@ def _model_pages(src: Inputs) -> tuple[str, str, str]:
 
     table_name = F.struct(F.col("o_orderpriority").alias("table_full_name"))
     function_name = F.struct(F.col("o_orderstatus").alias("function_full_name"))
-    absent_table, absent_function = F.lit(None).cast("struct<table_full_name:string>"), F.lit(
-        None
-    ).cast("struct<function_full_name:string>")
+    absent_table = F.lit(None).cast("struct<table_full_name:string>")
+    absent_function = F.lit(None).cast("struct<function_full_name:string>")
     dependencies = F.array(
         F.struct(table_name.alias("table"), absent_function.alias("function")),
         F.struct(absent_table.alias("table"), absent_function.alias("function")),
@@ -909,14 +908,23 @@ def _model_pages(src: Inputs) -> tuple[str, str, str]:
     )
 
 
+def _model_tables(src: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    models, versions, details = _model_pages(src)
+    page = "workspace_url string"
+    return (
+        read_pages(src.spark, models, "registered_models", "full_name string", page),
+        read_pages(src.spark, versions, "model_versions", "version int", f"{page}, full_name string"),
+        read_payload(src.spark, details, DETAIL_SCHEMA),
+    )
+
+
 @query(
     """select 'https://w' || cast(c_nationkey % 3 as string) as workspace_url,
               'models.m.' || lower(c_name) as full_name
        from {customer}"""
 )
 def paged_models(src: Inputs) -> DataFrame:
-    models, _, _ = _model_pages(src)
-    return read_pages(src.spark, models, "registered_models", "full_name string", "workspace_url string")
+    return _model_tables(src)[0].select("workspace_url", "full_name")
 
 
 @query(
@@ -933,16 +941,7 @@ def paged_models(src: Inputs) -> DataFrame:
        where o_orderstatus <> 'O' and c_mktsegment <> 'BUILDING'"""
 )
 def versions_of_models(src: Inputs) -> DataFrame:
-    models, versions, details = _model_pages(src)
-    listed = model_versions(
-        read_pages(src.spark, models, "registered_models", "full_name string", "workspace_url string"),
-        read_pages(
-            src.spark, versions, "model_versions", "version int",
-            "workspace_url string, full_name string",
-        ),
-        read_payload(src.spark, details, DETAIL_SCHEMA),
-        exclude_schemas=["BUILDING"],
-    )
+    listed = model_versions(*_model_tables(src), exclude_schemas=["BUILDING"])
 
     def text(column: str, first: str, second: str):
         pair = F.transform(quoted(column), lambda m: F.concat_ws(":", m[first], m[second]))
