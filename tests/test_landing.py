@@ -141,3 +141,16 @@ def test_pruned_landing_finds_late_rows(spark, goal):
     append_new(events.filter("id > 20"), goal, prune_on="ts")
     assert outcome(append_new(events, goal, prune_on="ts")) == ("appended", 21)
     assert outcome(append_new(events.filter("id < 5"), goal, prune_on="ts")) == ("unchanged", 0)
+
+
+@pytest.mark.parametrize("empty", ["limit", "filter", "rows"])
+def test_empty_sources_and_targets(spark, goal, empty):
+    some = spark.range(4)
+    none = {
+        "limit": some.limit(0),
+        "filter": some.filter("id > 9"),
+        "rows": spark.createDataFrame([], some.schema),
+    }[empty]
+    assert outcome(append_new(none, goal)) == ("created", 0)
+    assert outcome(append_new(some, goal)) == ("appended", 4)
+    assert outcome(append_new(none, goal)) == ("unchanged", 0)
