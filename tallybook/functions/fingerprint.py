@@ -25,19 +25,20 @@ JSON_OPTIONS = {
 }
 
 
-def _holds_map(dtype: T.DataType) -> bool:
+def holds_map(dtype: T.DataType) -> bool:
+    """Whether a type is, or holds at any depth, a map."""
     if isinstance(dtype, T.MapType):
         return True
     if isinstance(dtype, T.ArrayType):
-        return _holds_map(dtype.elementType)
+        return holds_map(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return any(_holds_map(f.dataType) for f in dtype.fields)
+        return any(holds_map(f.dataType) for f in dtype.fields)
     return False
 
 
 def _ordered(value: Column, dtype: T.DataType) -> Column:
     """``value`` with every map, at any depth, turned into entries sorted by key."""
-    if not _holds_map(dtype):
+    if not holds_map(dtype):
         return value
     if isinstance(dtype, T.MapType):
         entries = F.transform(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -112,6 +112,7 @@ def _unseen_of_large(
             rows_per_task,
             left_keys=counted,
             right_keys=keys.limit(0),
+            scanned_copies=True,
         )
     return Unseen(rows.select(*keyed.columns), row_count)
 
