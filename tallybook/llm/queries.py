@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import sentencepiece_codec
+from tallybook.llm import sentencepiece_codec, token_output
+from tallybook.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +25,15 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(_table(spark, sf_dir, "documents"), piece_model())
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    encoder = functools.partial(token_output.word_bpe, public_tokenizers.path("word_bpe_49k.json"))
+    token_output.write_shards(_table(spark, sf_dir, "documents"), path, encoder)
+    return token_output.read_shards(spark.read.schema(token_output.SHARD_SCHEMA).parquet(path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
+    "op8_token_output": op8_token_output,
 }
 ORACLES: dict[str, str] = {}
