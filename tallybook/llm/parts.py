@@ -12,8 +12,8 @@ import numpy as np
 
 from tallybook.llm.words import span_bytes, span_hashes
 
-CACHED_PARTS = 2_000_000
-"""Distinct parts a worker remembers (about 90 MB); beyond it the cache starts anew."""
+CACHED_PARTS = 1_000_000
+"""Distinct parts a worker remembers (about 45 MB); beyond it the cache starts anew."""
 
 
 class PartIds:
@@ -51,7 +51,10 @@ class PartIds:
         distinct, first, number = np.unique(
             span_hashes(raw, starts, ends), return_index=True, return_inverse=True
         )
-        new = ~np.isin(distinct, self.hashes, assume_unique=True)
+        at = np.searchsorted(self.hashes, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        known = at < len(self.hashes)
+        new[known] = self.hashes[at[known]] != distinct[known]
         if len(self.hashes) + int(new.sum()) > self.limit:
             self._clear()
             new[:] = True

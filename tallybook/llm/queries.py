@@ -12,7 +12,12 @@ from tallybook.llm import sentencepiece_codec, token_output
 from tallybook.session import scratch_path
 
 
+ROWS_PER_BATCH = 1_000
+"""Rows that Spark hands to Python at once: long texts would make much larger batches of its 10,000."""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 """Text that one step of a task works on at a time; a single longer text makes a step of its own."""
 
 _SPACE = np.zeros(256, dtype=bool)
