@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import sentencepiece_codec, token_output
+from tallybook.llm import sentencepiece_codec, substring_dedup, token_output
 from tallybook.session import scratch_path
 
 
@@ -30,6 +30,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(_table(spark, sf_dir, "documents"), piece_model())
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")
     encoder = functools.partial(token_output.word_bpe, public_tokenizers.path("word_bpe_49k.json"))
@@ -39,6 +43,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_token_output": op8_token_output,
 }
 ORACLES: dict[str, str] = {}
