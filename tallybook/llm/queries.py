@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import sentencepiece_codec, substring_dedup, token_output
+from tallybook.llm import jaccard_join, sentencepiece_codec, substring_dedup, token_output
 from tallybook.session import scratch_path
 
 
@@ -26,6 +26,10 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(_table(spark, sf_dir, "documents"), piece_model())
 
@@ -42,6 +46,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_output": op8_token_output,
