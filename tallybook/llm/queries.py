@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import jaccard_join, sentencepiece_codec, substring_dedup, token_output
+from tallybook.llm import jaccard_join, quality_rules, sentencepiece_codec, substring_dedup, token_output
 from tallybook.session import scratch_path
 
 
@@ -26,6 +26,11 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_rules.judged(docs, labels).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_substring_dedup": op7_substring_dedup,
