@@ -8,7 +8,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import jaccard_join, quality_rules, sentencepiece_codec, substring_dedup, token_output
+from tallybook.llm import (
+    jaccard_join,
+    lm_scoring,
+    quality_rules,
+    sentencepiece_codec,
+    substring_dedup,
+    token_output,
+)
 from tallybook.session import scratch_path
 
 
@@ -50,11 +57,16 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_shards(spark.read.schema(token_output.SHARD_SCHEMA).parquet(path))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_output": op8_token_output,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLES: dict[str, str] = {}

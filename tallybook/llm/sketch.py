@@ -65,8 +65,8 @@ SENT = "key int, size int, cells binary, repeats binary"
 class Counter:
     """Counts hashes in one task; gives rows of ``SENT``."""
 
-    def __init__(self, width: int):
-        self.width, self.held, self.size = width, [], 0
+    def __init__(self, width: int, depth: int):
+        self.width, self.depth, self.held, self.size = width, depth, [], 0
 
     def add(self, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.held.append(hashes)
@@ -79,7 +79,7 @@ class Counter:
         self.held, self.size = [], 0
         out: list[tuple[int, int, bytes, bytes]] = []
         blocks = 1 << max(self.width - BLOCK_BITS, 0)
-        for row in range(DEPTH):
+        for row in range(self.depth):
             cells = np.sort(_cells(hashes, row, self.width))
             first = np.flatnonzero(np.concatenate([[len(cells) > 0], cells[1:] != cells[:-1]]))
             counts = np.diff(np.concatenate([first, [len(cells)]]))
@@ -105,8 +105,10 @@ class Counter:
 class Sketch:
     """The merged sketch, as broadcast: packed bits by row, and the heavy cells of the first row."""
 
-    def __init__(self, width: int, bits: dict[int, bytes], heavy: np.ndarray, counts: np.ndarray):
-        self.width, self.bits = width, bits
+    def __init__(
+        self, width: int, depth: int, bits: dict[int, bytes], heavy: np.ndarray, counts: np.ndarray
+    ):
+        self.width, self.depth, self.bits = width, depth, bits
         self.heavy, self.counts = heavy, counts
         self._rows: list[np.ndarray] | None = None
 
@@ -118,7 +120,7 @@ class Sketch:
             blocks = 1 << max(self.width - BLOCK_BITS, 0)
             size = 1 << (min(self.width, BLOCK_BITS) - 3)
             self._rows = []
-            for row in range(DEPTH):
+            for row in range(self.depth):
                 whole = np.zeros(blocks * size, np.uint8)
                 for block in range(blocks):
                     if (data := self.bits.get(row * blocks + block)) is not None:
@@ -144,7 +146,7 @@ class Sketch:
             return np.zeros(len(hashes), np.uint64)
         cells = _cells(hashes, 0, self.width)
         at = np.minimum(np.searchsorted(self.heavy, cells), len(self.heavy) - 1)
-        found = np.log2(self.counts[at] + 1).astype(np.uint64)
+        found = np.log2(self.counts[at].astype(np.float64) + 1).astype(np.uint64)
         return np.where(self.heavy[at] == cells, np.minimum(found, np.uint64(15)), np.uint64(0))
 
 
@@ -152,14 +154,20 @@ def build(
     docs: DataFrame,
     hashes: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]],
     expected: int,
+    depth: int = DEPTH,
+    heavy_from: int | None = None,
 ) -> Sketch:
-    """The sketch of all hashes that ``hashes`` gives for the batches of ``docs``."""
+    """The sketch of all hashes that ``hashes`` gives for the batches of ``docs``.
+
+    ``heavy_from`` is the count from which a cell of the first row counts as heavy; by default so
+    high that there are at most about ``HEAVY_CELLS`` of them.
+    """
     width = width_for(expected)
     blocks = 1 << max(width - BLOCK_BITS, 0)
-    heavy_from = max(64, expected // HEAVY_CELLS)
+    heavy_from = heavy_from or max(64, expected // HEAVY_CELLS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(width)
+        counter = Counter(width, depth)
         for found in hashes(batches):
             yield from counter.add(found)
         yield counter.flush()
@@ -203,4 +211,4 @@ def build(
     )
     merged.sort(key=lambda r: r["key"])
     join = lambda name: np.frombuffer(b"".join(r[name] for r in merged), "<u4")
-    return Sketch(width, {r["key"]: bytes(r["bits"]) for r in merged}, join("heavy"), join("counts"))
+    return Sketch(width, depth, {r["key"]: bytes(r["bits"]) for r in merged}, join("heavy"), join("counts"))
