@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import (
+    decontamination,
     jaccard_join,
     lm_scoring,
     quality_rules,
@@ -57,6 +58,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_shards(spark.read.schema(token_output.SHARD_SCHEMA).parquet(path))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_output": op8_token_output,
+    "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_decontamination": decontamination.oracle(),
+}
