@@ -8,7 +8,8 @@ also stand in a document with a smaller ``doc_id`` is removed; windows are judge
    miss. A task first settles them among its own documents, keeping of each window those places
    that belong to its least ``doc_id``; the rest meet in blocks by hash, where each window is
    grouped exactly. So a window of a third of all documents comes to its block once per task.
-3. The places found go to their documents, which are cut and returned.
+3. The places found go in packed buckets by ``doc_id`` to where the documents of that bucket go too,
+   and the documents are cut and returned.
 
 Defined results: a null text has no words; texts shorter than a window lose nothing; a null
 ``doc_id`` counts as larger than any other; rows that share a ``doc_id`` never remove each other's
@@ -19,11 +20,11 @@ by a 64-bit hash of their words.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,6 +77,10 @@ def _marks(rows: list[tuple[int, np.ndarray | None, np.ndarray, np.ndarray]]) ->
     )
 
 
+def _unpacked(data: bytes, n: int, kind: str) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 8 * n, codec="zstd"), kind)
+
+
 def _settled(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by hash and document; which of the ordered are in a later document than the first."""
     order = np.lexsort((docs, hashes))
@@ -85,12 +90,14 @@ def _settled(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, d > least
 
 
-def repeated_places(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``doc_id`` and packed places (first words of windows to remove), several rows per document."""
+def _key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+
+
+def repeated_places(docs: DataFrame, size: int, expected: int, buckets: int) -> DataFrame:
+    """First words of the windows to remove, packed: rows of ``bucket, size, docs, places``."""
     spark = docs.sparkSession
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id")
-    rows = docs.select(key, "text")
-    expected = sketch.expected_words(rows)
+    rows = docs.select(_key().alias("doc_id"), "text")
     blocks = max(8, expected >> 20)
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -132,59 +139,75 @@ def repeated_places(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             yield settle()
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def by_document(d: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
-            order = np.argsort(d, kind="stable")
-            d, p = d[order], p[order]
-            first = np.flatnonzero(np.concatenate([[len(d) > 0], d[1:] != d[:-1]]))
-            edges = np.concatenate([first, [len(d)]]).tolist()
-            body = p.tobytes()
-            parts = [body[8 * a : 8 * b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        n_done = 0
+
+        def by_bucket() -> pa.RecordBatch:
+            d, p = (np.concatenate(x) for x in zip(*done, strict=True))
+            bucket = d % buckets
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            filled = np.flatnonzero(np.diff(edges))
+            parts = [order[edges[b] : edges[b + 1]] for b in filled.tolist()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(d[first]), pa.array(parts, pa.binary())], ["doc_id", "places"]
+                [
+                    pa.array(filled, pa.int32()),
+                    pa.array([len(x) for x in parts], pa.int32()),
+                    pa.array([_packed(d[x]) for x in parts], pa.binary()),
+                    pa.array([_packed(p[x]) for x in parts], pa.binary()),
+                ],
+                ["bucket", "size", "docs", "places"],
             )
 
-        def unpacked(data: bytes, n: int, kind: str) -> np.ndarray:
-            return np.frombuffer(pa.decompress(data, 8 * n, codec="zstd"), kind)
-
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         current = -1
 
-        def exact() -> Iterator[pa.RecordBatch]:
+        def exact() -> None:
+            nonlocal n_done
             if held:
                 h, d, p = (np.concatenate(x) for x in zip(*held, strict=True))
                 order, later = _settled(h, d)
-                yield by_document(d[order][later], p[order][later])
+                done.append((d[order][later], p[order][later]))
+                n_done += int(later.sum())
             held.clear()
 
         for batch in batches:
             for block, kind, n, h, d, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block != current:
-                    yield from exact()
+                    exact()
                     current = block
                 if kind:
-                    yield by_document(unpacked(d, n, "<i8"), unpacked(p, n, "<u8"))
+                    done.append((_unpacked(d, n, "<i8"), _unpacked(p, n, "<u8")))
+                    n_done += n
                 else:
-                    held.append((unpacked(h, n, "<u8"), unpacked(d, n, "<i8"), unpacked(p, n, "<u8")))
-        yield from exact()
+                    held.append((_unpacked(h, n, "<u8"), _unpacked(d, n, "<i8"), _unpacked(p, n, "<u8")))
+                if n_done >= HELD:
+                    yield by_bucket()
+                    done.clear()
+                    n_done = 0
+        exact()
+        if done:
+            yield by_bucket()
 
     return (
         rows.mapInArrow(candidates, _MARKS)
         .repartition("block")
         .sortWithinPartitions("block")
-        .mapInArrow(group, "doc_id long, places binary")
+        .mapInArrow(group, "bucket int, size int, docs binary, places binary")
     )
 
 
-def _cut(words: Words, places: list[list[bytes] | None], tags: np.ndarray, size: int) -> np.ndarray:
-    """Which words go."""
+def _cut(words: Words, docs: np.ndarray, tags: np.ndarray, marks: tuple[np.ndarray, np.ndarray], size: int) -> np.ndarray:
+    """Which words go. ``marks`` are documents and places of one bucket, ordered by document."""
     change = np.zeros(len(words) + 1, np.int64)
-    for row, found in enumerate(places):
-        if found:
-            at = np.unique(np.frombuffer(b"".join(found), "<u8"))
-            at = at[(at >> _PLACE) == tags[row]] & np.uint64((1 << 40) - 1)
-            start = at.astype(np.int64) + words.offsets[row]
-            change[start] += 1
-            change[start + size] -= 1
+    marked, places = marks
+    first, last = (np.searchsorted(marked, docs, side=side) for side in ("left", "right"))
+    for row in np.flatnonzero(last > first).tolist():
+        at = places[first[row] : last[row]]
+        at = np.unique(at[(at >> _PLACE) == tags[row]] & np.uint64((1 << 40) - 1))
+        start = at.astype(np.int64) + words.offsets[row]
+        change[start] += 1
+        change[start + size] -= 1
     return np.cumsum(change[:-1]) > 0
 
 
@@ -200,61 +223,99 @@ def _kept(words: Words, gone: np.ndarray) -> tuple[bytes, np.ndarray]:
     return body.tobytes(), upto[kept_before]
 
 
-def _with_places(docs: DataFrame, size: int) -> DataFrame:
-    marks = repeated_places(docs, size).groupBy("doc_id").agg(F.collect_list("places").alias("_places"))
-    marks = marks.withColumnRenamed("doc_id", "_place_of")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
-    return docs.join(marks, key == F.col("_place_of"), "left").drop("_place_of")
-
+Finish = Callable[[pa.RecordBatch, Words, np.ndarray], pa.RecordBatch]
+
+
+def _cut_all(docs: DataFrame, size: int, finish: Finish, schema: T.StructType) -> DataFrame:
+    """Every row of ``docs`` through ``finish`` with its words and which of them go."""
+    names = docs.columns
+    expected = sketch.expected_words(docs)
+    buckets = max(8, expected >> 20) | 1
+    marks = repeated_places(docs, size, expected, buckets)
+    other = [docs[c].alias(f"c{i}") for i, c in enumerate(names) if c != "text"]
+    rows = docs.select(
+        F.pmod(_key(), F.lit(buckets)).cast("int").alias("bucket"),
+        F.lit(1).alias("kind"),
+        F.lit(0).alias("size"),
+        F.lit(None).cast("binary").alias("docs"),
+        F.lit(None).cast("binary").alias("places"),
+        _key().alias("key"),
+        F.col("text"),
+        F.struct(*other).alias("other"),
+    )
+    both = rows.unionByName(marks.withColumn("kind", F.lit(0)), allowMissingColumns=True)
 
-def _renamed(docs: DataFrame) -> DataFrame:
-    """Without columns of the names used here."""
-    return docs.drop("_places", "_place_of")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = -1, []
+        ready: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        for batch in pieces(batches):
+            buckets_of = batch.column("bucket").to_numpy()
+            kinds = batch.column("kind").to_numpy()
+            change = np.flatnonzero(np.diff(buckets_of) | np.diff(kinds)) + 1
+            edges = [0, *change.tolist(), batch.num_rows]
+            for first, last in zip(edges[:-1], edges[1:], strict=True):
+                part = batch.slice(first, last - first)
+                if buckets_of[first] != current:
+                    current, held = buckets_of[first], []
+                    ready = (ready[0][:0], ready[1][:0])
+                if kinds[first] == 0:
+                    for n, d, p in zip(*(part.column(c).to_pylist() for c in ("size", "docs", "places")), strict=True):
+                        held.append((_unpacked(d, n, "<i8"), _unpacked(p, n, "<u8")))
+                    continue
+                if held:
+                    d, p = (np.concatenate(x) for x in zip(*held, strict=True))
+                    order = np.argsort(d, kind="stable")
+                    ready, held = (d[order], p[order]), []
+                texts = part.column("text")
+                words = Words(texts)
+                gone = _cut(words, part.column("key").to_numpy(), _tags(texts), ready, size)
+                flat = iter(part.column("other").flatten())
+                columns = [texts if c == "text" else next(flat) for c in names]
+                yield finish(pa.RecordBatch.from_arrays(columns, names), words, gone)
+
+    dealt = both.repartition("bucket").sortWithinPartitions("bucket", "kind")
+    return dealt.mapInArrow(run, schema)
+
+
+def _per_text(words: Words, gone: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate([[0], np.cumsum(gone)])[words.offsets])
 
 
 def digest(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_sha256`` (kept words joined by one space)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            words = Words(batch.column("text"))
-            gone = _cut(words, batch.column("_places").to_pylist(), _tags(batch.column("text")), size)
-            body, at = _kept(words, gone)
-            sha = [
-                hashlib.sha256(body[a : max(b - 1, a)]).hexdigest()
-                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
-            ]
-            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.offsets])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(words.counts), pa.array(removed), pa.array(sha)],
-                ["doc_id", "n_words", "n_removed", "kept_sha256"],
-            )
+    def finish(batch: pa.RecordBatch, words: Words, gone: np.ndarray) -> pa.RecordBatch:
+        body, at = _kept(words, gone)
+        sha = [
+            hashlib.sha256(body[a : max(b - 1, a)]).hexdigest()
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+        ]
+        ids = batch.column("doc_id").cast(pa.int64())
+        columns = [ids, pa.array(words.counts), pa.array(_per_text(words, gone)), pa.array(sha)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return _with_places(_renamed(docs.select("doc_id", "text")), size).mapInArrow(run, schema)
+    return _cut_all(docs.select("doc_id", "text"), size, finish, schema)
 
 
 def dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` with repeated runs taken out of ``text``, and ``_n_removed`` (long) beside it.
+    """``docs`` with repeated runs taken out of ``text``, and ``n_removed_words`` (long) beside it.
 
     A text that loses words becomes its kept words joined by one space; others stay as they are.
-    All columns are kept; ``_n_removed`` replaces a column of that name.
+    All columns are kept; ``n_removed_words`` replaces a column of that name.
     """
-    docs = _renamed(docs).drop("_n_removed")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_n_removed", T.LongType())])
+    docs = docs.drop("n_removed_words")
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_removed_words", T.LongType())])
     at_text = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            words = Words(batch.column("text"))
-            gone = _cut(words, batch.column("_places").to_pylist(), _tags(batch.column("text")), size)
-            body, at = _kept(words, gone)
-            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.offsets])
-            texts = batch.column("text").to_pylist()
-            for row in np.flatnonzero(removed).tolist():
-                texts[row] = body[at[row] : max(at[row + 1] - 1, at[row])].decode("utf-8")
-            columns = [batch.column(i) for i in range(len(docs.columns))]
-            columns[at_text] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed)], schema.names)
-
-    return _with_places(docs, size).mapInArrow(run, schema)
+    def finish(batch: pa.RecordBatch, words: Words, gone: np.ndarray) -> pa.RecordBatch:
+        body, at = _kept(words, gone)
+        removed = _per_text(words, gone)
+        texts = batch.column("text").to_pylist()
+        for row in np.flatnonzero(removed).tolist():
+            texts[row] = body[at[row] : max(at[row + 1] - 1, at[row])].decode("utf-8")
+        columns = batch.columns
+        columns[at_text] = pa.array(texts, pa.string())
+        return pa.RecordBatch.from_arrays([*columns, pa.array(removed)], schema.names)
+
+    return _cut_all(docs, size, finish, schema)
