@@ -10,7 +10,7 @@ from tallybook.session import scratch_path
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids, decoded text and round trip of every document."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", queries.ROWS_PER_BATCH)
+    queries.prepare(spark)
     return sentencepiece_codec.digest(docs, queries.piece_model())
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,19 @@ from tallybook.llm import (
 from tallybook.session import scratch_path
 
 
+_ROOT = str(Path(__file__).resolve().parents[2])
 ROWS_PER_BATCH = 1_000
 """Rows that Spark hands to Python at once: long texts would make much larger batches of its 10,000."""
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Lets local Python workers find this package from any folder, and hands them small batches."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
