@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybook.llm import (
     decontamination,
     jaccard_join,
+    language_id,
     lm_scoring,
+    quality_classifier,
     quality_rules,
     sentencepiece_codec,
     substring_dedup,
@@ -51,6 +53,15 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predicted(_table(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_classifier.predicted(docs, labels)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(_table(spark, sf_dir, "documents"), piece_model())
 
@@ -77,6 +88,8 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_language_id": op3_language_id,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_output": op8_token_output,
