@@ -19,6 +19,7 @@ from tallybook.llm import (
     sentencepiece_codec,
     substring_dedup,
     token_output,
+    toxicity,
 )
 from tallybook.session import scratch_path
 
@@ -66,6 +67,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(_table(spark, sf_dir, "documents"), piece_model())
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.predicted(docs, labels)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_toxicity": op6_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_output": op8_token_output,
     "op9_decontamination": op9_decontamination,
