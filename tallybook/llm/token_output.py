@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.parts import PartIds
-from tallybook.llm.words import Words, pieces
+from tallybook.llm.words import LOWER, Words, pieces
 
 SHARD_TOKENS = 4_000_000
 ROUNDS = 3
@@ -203,9 +203,9 @@ _MARKS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _
 class WordBpe:
     """A tokenizers file whose parts of a text at white space don't touch each other.
 
-    A word's ASCII punctuation at its end is a part of its own where it follows a letter, so that
-    a word is encoded once whatever follows it; words with ``<`` stay whole, as special tokens may
-    stand in them.
+    The file's tokenizer must lower-case. A word's ASCII punctuation at its end is a part of its own
+    where it follows a letter, and A-Z are lowered ahead, so that a word is encoded once whatever
+    follows it; words with ``<`` stay as they are, since special tokens may stand in them.
     """
 
     def __init__(self, path: str):
@@ -237,15 +237,18 @@ class WordBpe:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text starts."""
         words = Words(texts)
-        starts, ends, raw = words.starts, words.ends, words.raw
+        starts, ends = words.starts, words.ends
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(words.offsets), np.int64)
+        angle = np.logical_or.reduceat(words.raw == 0x3C, starts)
+        raw = LOWER[words.raw]
+        for a, b in zip(starts[angle].tolist(), ends[angle].tolist(), strict=True):
+            raw[a:b] = words.raw[a:b]
         other = np.where(self.plain[raw], -1, np.arange(len(raw)))
         core = np.maximum(np.maximum.reduceat(other, starts) + 1, starts)
         before = raw[np.maximum(core - 1, 0)]
         two = raw[np.maximum(core - 2, 0)]
         latin = (two == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
-        angle = np.logical_or.reduceat(raw == 0x3C, starts)
         split = (core > starts) & (core < ends) & (self.letter[before] | latin) & ~angle
         cut = np.where(split, core, ends)
         at = np.empty(2 * len(starts), np.int64)

@@ -17,8 +17,8 @@ BATCH_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
@@ -72,7 +72,7 @@ class Words:
 
     def __init__(self, texts: pa.Array, lower: bool = False):
         raw, self.text_starts = text_bytes(texts)
-        self.raw = _LOWER[raw] if lower else raw
+        self.raw = LOWER[raw] if lower else raw
         space = _SPACE[raw]
         edge = np.ones(len(raw) + 1, dtype=bool)
         edge[1:] = space if len(raw) else True
