@@ -24,6 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tallybook.llm.parts import PartIds, ranges
 from tallybook.llm.words import pieces, text_bytes
@@ -252,7 +253,7 @@ def encode(docs: DataFrame, model: bytes, verify: bool = True) -> DataFrame:
     Null and empty texts have no ids. A column named ``sp_ids`` in the input is replaced.
     """
     docs = docs.drop("sp_ids")
-    schema = docs.schema.add("sp_ids", "array<int>")
+    schema = T.StructType([*docs.schema.fields, T.StructField("sp_ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         codec = _codec(model, verify)
@@ -267,7 +268,7 @@ def encode(docs: DataFrame, model: bytes, verify: bool = True) -> DataFrame:
 def decode(docs: DataFrame, model: bytes, ids: str = "sp_ids", text: str = "sp_text") -> DataFrame:
     """``docs`` with the text that the ids stand for; a null list is an empty text."""
     docs = docs.drop(text)
-    schema = docs.schema.add(text, "string")
+    schema = T.StructType([*docs.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches):
         codec = _codec(model, False)

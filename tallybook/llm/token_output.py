@@ -40,7 +40,7 @@ _HEAD = struct.Struct("<4sIIIII")
 
 def _pair_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ordered = np.sort(keys)
-    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    at = np.flatnonzero(np.concatenate([[len(ordered) > 0], ordered[1:] != ordered[:-1]]))
     return ordered[at], np.diff(np.concatenate([at, [len(ordered)]]))
 
 
