@@ -6,18 +6,15 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from tallybook.functions import KEY, row_key
-from tallybook.operators.joins import ROWS_PER_TASK, split_join
 from tallybook.session import materialise
 
 
-# So many keys are 32 MB; they are all that is broadcast of a table's rows.
-BROADCAST_KEYS = 1_000_000
-
-
 def union_sources(sources: Iterable[DataFrame | None]) -> DataFrame | None:
     """Bag union by column name; columns a source lacks are NULL, absent sources are skipped."""
     present = [s for s in sources if s is not None]
@@ -26,20 +23,61 @@ def union_sources(sources: Iterable[DataFrame | None]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), present)
 
 
+def reject_key_name(df: DataFrame) -> None:
+    """A user's column cannot have the name of the hidden key: it would be taken for one."""
+    if KEY.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"column name {KEY} is reserved for the row key; rename it in the source")
+
+
 def with_row_key(df: DataFrame, mode: str) -> DataFrame:
-    return df if KEY in df.columns else df.withColumn(KEY, row_key(df.schema, mode))
+    reject_key_name(df)
+    return df.withColumn(KEY, row_key(df.schema, mode))
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the columns, order and types of ``schema``; a type that cannot be stored fails."""
+    renamed = {f.name.lower(): f.name for f in schema.fields}
+    named = df.withColumnsRenamed({c: renamed[c.lower()] for c in df.columns if c.lower() in renamed})
+    return named.to(schema)
+
+
+def widened_type(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The old type, with struct fields that only the new one has added at any depth."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return widened_schema(old, new)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(widened_type(old.elementType, new.elementType))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return T.MapType(old.keyType, widened_type(old.valueType, new.valueType))
+    return old
+
+
+def widened_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """Columns of ``old`` in place, those only in ``new`` at the end, all nullable."""
+    incoming = {f.name.lower(): f.dataType for f in new.fields}
+    known = {f.name.lower() for f in old.fields}
+    fields = [
+        T.StructField(f.name, widened_type(f.dataType, incoming.get(f.name.lower(), f.dataType)))
+        for f in old.fields
+    ]
+    fields += [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in known]
+    return T.StructType(fields)
 
 
 def within_range_of(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
     """Target rows whose ``column`` lies in the range the source spans.
 
     Equal rows agree in every column, so a target row outside the range cannot be a known
-    copy of a source row: the bound prunes files and row groups and loses nothing.
+    copy of a source row: the bound prunes files and row groups and loses nothing. The bounds
+    of timestamps travel as microseconds since the epoch, so that no time zone comes between.
     """
-    low, high = source.agg(F.min(column), F.max(column)).first()
+    is_instant = isinstance(source.schema[column].dataType, T.TimestampType)
+    out = F.unix_micros if is_instant else (lambda c: c)
+    back: Column = F.timestamp_micros if is_instant else (lambda c: c)
+    low, high = source.agg(out(F.min(column)), out(F.max(column))).first()
     inside = F.col(column).isNull()
     if low is not None:
-        inside = inside | F.col(column).between(F.lit(low), F.lit(high))
+        inside = inside | F.col(column).between(back(F.lit(low)), back(F.lit(high)))
     return target.filter(inside)
 
 
@@ -52,69 +90,29 @@ class Unseen:
 
 
 def find_unseen(
-    source: DataFrame,
-    target: DataFrame,
-    mode: str = "strict",
-    prune_on: str | None = None,
-    small_rows: int = BROADCAST_KEYS,
-    rows_per_task: int = ROWS_PER_TASK,
+    source: DataFrame, target: DataFrame, mode: str = "strict", prune_on: str | None = None
 ) -> Unseen:
-    """Rows of ``source`` whose content ``target`` does not hold, copies included."""
-    keyed = with_row_key(source, mode)
-    if prune_on is not None:
-        target = within_range_of(target, source, prune_on)
-    known = with_row_key(target, mode).select(KEY)
-    if source.limit(small_rows + 1).count() <= small_rows:
-        return _unseen_of_small(keyed, known)
-    return _unseen_of_large(keyed, known, small_rows, rows_per_task)
-
-
-def _unseen_of_small(keyed: DataFrame, known: DataFrame) -> Unseen:
-    """A source whose keys can be broadcast is hashed once, into the scratch folder.
-
-    The target is scanned once and in place: of its keys only those of the source go on,
-    which are no more than the source has rows, and those are broadcast back.
-    """
-    keyed, row_count = materialise(keyed, "source")
-    if row_count == 0:
-        return Unseen(keyed, 0)
-    matched = known.join(F.broadcast(keyed.select(KEY)), KEY, "left_semi").distinct()
-    return Unseen(*materialise(keyed.join(F.broadcast(matched), KEY, "left_anti"), "unseen"))
+    """Rows of ``source`` whose content ``target`` does not hold, copies included.
 
+    Either side may carry row keys already (columns named ``KEY``), as ledger tables do. A strict
+    source is brought to the target's names and types first, so that equal content has equal keys.
 
-def _unseen_of_large(
-    keyed: DataFrame, known: DataFrame, small_rows: int, rows_per_task: int
-) -> Unseen:
-    """Find the unseen keys first, then fetch only their rows.
-
-    1. Keys of both sides are made unique before they are shuffled (copies combine
-       map-side), so a row that fills a third of a table is one key here. Only 32 bytes a
-       distinct row cross the network, not the rows. The unseen keys with their number of
-       copies go to the scratch folder.
-    2. The source's rows are matched with the unseen keys: by broadcast when there are few,
-       as after a normal day; else by a shuffle in which keys with many copies are split.
+    One plan for any size. Keys of both sides are made unique before they are shuffled (copies
+    combine map-side), so a row that fills a third of a table is one key, and 32 bytes a distinct
+    row cross the network. The unseen keys are written; then the source's rows of those keys are
+    fetched by a semi-join, which Spark broadcasts when it sees that few keys were written, and
+    whose overlong partitions of one key it splits when it did not.
     """
+    if mode == "strict" and KEY not in source.columns:
+        source = conform(source, widened_schema(target.drop(KEY).schema, source.schema))
+    if prune_on is not None:
+        target = within_range_of(target, source, prune_on)
+    keyed = source if KEY in source.columns else with_row_key(source, mode)
+    known = (target if KEY in target.columns else with_row_key(target, mode)).select(KEY)
     copies = keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    unseen = copies.join(known.distinct(), KEY, "left_anti")
-    counted, key_count = materialise(unseen, "unseen-keys")
-    row_count = counted.agg(F.sum("_rows")).first()[0] or 0
-    if row_count == 0:
-        return Unseen(keyed.limit(0), 0)
-    keys = counted.select(KEY)
-    if key_count <= small_rows:
-        rows = keyed.join(F.broadcast(keys), KEY, "left_semi")
-    else:
-        rows = split_join(
-            keyed,
-            keys,
-            [KEY],
-            "inner",
-            rows_per_task,
-            left_keys=counted,
-            right_keys=keys.limit(0),
-            scanned_copies=True,
-        )
-    return Unseen(rows.select(*keyed.columns), row_count)
+    keys, _ = materialise(copies.join(known.distinct(), KEY, "left_anti"), "unseen-keys")
+    row_count = keys.agg(F.sum("_rows")).first()[0] or 0
+    return Unseen(keyed.join(keys.select(KEY), KEY, "left_semi"), row_count)
 
 
 def new_rows(
@@ -122,6 +120,10 @@ def new_rows(
 ) -> DataFrame:
     """Rows of ``source`` whose content ``target`` does not hold, copies included.
 
-    ``prune_on`` names a column (an event time, say) by whose range the target is pruned.
+    They come in the target's names and types (in strict mode), with columns that only the source
+    has at the end. ``prune_on`` names a column (an event time, say) by whose range the target is pruned.
     """
-    return find_unseen(source, target, mode, prune_on).rows.select(*source.columns)
+    reject_key_name(source)
+    reject_key_name(target)
+    found = find_unseen(source, target, mode, prune_on).rows.drop(KEY)
+    return found.select(*source.columns) if set(source.columns) == set(found.columns) else found

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from tallybook.operators.rows import union_sources, with_row_key
-from tallybook.plans.landing import SKIPPED, append_new, each_table, status
+from tallybook.plans.landing import SKIPPED, append_new, each_table, status, target_of
 from tallybook.sources.registry import (
     EXCLUDED_SCHEMAS,
     EXCLUDED_TABLES,
@@ -18,7 +17,7 @@ from tallybook.sources.registry import (
     discover_sources,
     to_refs,
 )
-from tallybook.sources.tables import LEDGER, TableRef, load_view
+from tallybook.sources.tables import TableRef, load_view
 
 
 def consolidate_table(
@@ -40,14 +39,14 @@ def consolidate_table(
         return status(target, SKIPPED)
     if mode == "compat":
         present = [with_row_key(df, mode) for df in present]
-    return append_new(union_sources(present), target, mode, dedupe, prune_on)
+    return append_new(union_sources(present), target, mode, dedupe, prune_on, keyed=mode == "compat")
 
 
 def consolidate_all(
     spark: SparkSession,
     registry: DataFrame,
     target: str,
-    target_root: str,
+    target_root: str | None,
     include: str = SOURCE_INCLUDE,
     exclude: str = SOURCE_EXCLUDE,
     exclude_schemas: Iterable[str] = EXCLUDED_SCHEMAS,
@@ -55,18 +54,23 @@ def consolidate_all(
     mode: str = "strict",
     fail_fast: bool = False,
     workers: int = 8,
+    dedupe: bool = False,
+    prune_on: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Find the source catalogs and consolidate each of their tables; the target itself is
-    never a source."""
+    never a source. Without a ``target_root`` the targets are tables of the catalog ``target``.
+    ``prune_on`` names a column by ``schema.table``."""
+    prune_on = prune_on or {}
     sources = discover_sources(registry, include, exclude, targets=[target])
-    wanted = registry.join(F.broadcast(sources), "catalog", "left_semi")
+    wanted = registry.join(sources, "catalog", "left_semi")
     groups: dict[tuple[str, str], list[TableRef]] = {}
     for ref in to_refs(apply_name_exclusions(wanted, exclude_schemas, exclude_tables)):
         groups.setdefault((ref.schema, ref.table), []).append(ref)
 
     def merging(item) -> tuple[TableRef, Callable[[], Row]]:
         (schema, table), refs = item
-        goal = TableRef.under(target_root, target, schema, table, LEDGER)
-        return goal, lambda: consolidate_table(spark, refs, goal, mode)
+        goal = target_of(target_root, target, schema, table)
+        bound = prune_on.get(f"{schema}.{table}")
+        return goal, lambda: consolidate_table(spark, refs, goal, mode, dedupe, bound)
 
     return each_table(spark, map(merging, sorted(groups.items())), fail_fast, workers)

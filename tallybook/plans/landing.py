@@ -8,17 +8,15 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from tallybook.functions import KEY
-from tallybook.operators.rows import find_unseen, with_row_key
+from tallybook.operators.rows import conform, find_unseen, reject_key_name, widened_schema, with_row_key
 from tallybook.sources.registry import EXCLUDED_TABLES, apply_name_exclusions, to_refs
 from tallybook.sources.tables import (
     LEDGER,
     TableRef,
     append_table,
-    conform,
     create_table,
     read_table,
     table_exists,
-    widened_schema,
 )
 
 STATUS_SCHEMA = "table string, action string, row_count long, error string"
@@ -41,23 +39,29 @@ def append_new(
     mode: str = "strict",
     dedupe: bool = False,
     prune_on: str | None = None,
+    keyed: bool = False,
 ) -> Row:
     """Create the table from ``df``, or append the rows of ``df`` it lacks; nothing else.
 
-    ``df`` may carry row keys already; in strict mode they are made here, after ``df`` has
-    been brought to the table's types. Copies within ``df`` are kept unless ``dedupe``.
+    The target may be a ledger, which stores strict row keys, a catalog table, whose schema is
+    created where it is missing, or a folder of files; of the latter two the keys are made when
+    they are needed and never stored. Copies within ``df`` are kept unless ``dedupe``.
+    ``keyed`` says that ``df`` carries compat keys of its own; a user's column may not have
+    the key's name.
     """
     spark = df.sparkSession
-    stored = mode == "strict"
+    if not keyed:
+        reject_key_name(df)
+    stored = mode == "strict" and ref.path is not None and ref.format == LEDGER
     if not table_exists(spark, ref):
-        new = with_row_key(df, mode)
+        new = df if keyed else with_row_key(df, mode)
         new = new.dropDuplicates([KEY]) if dedupe else new
         return status(ref, CREATED, create_table(new if stored else new.drop(KEY), ref))
 
     target = read_table(spark, ref, with_key=stored)
-    if stored:
-        known_columns = target.drop(KEY).schema
-        df = conform(df.drop(KEY), widened_schema(known_columns, df.drop(KEY).schema))
+    if mode == "strict":
+        plain = df.drop(KEY)
+        df = conform(plain, widened_schema(target.drop(KEY).schema, plain.schema))
     unseen = find_unseen(df, target, mode, prune_on)
     if unseen.row_count == 0:
         return status(ref, UNCHANGED)
@@ -77,6 +81,11 @@ def land_table(
     return append_new(read_table(spark, source), target, mode, dedupe, prune_on)
 
 
+def target_of(root: str | None, catalog: str, schema: str, table: str) -> TableRef:
+    """A ledger under ``root``, or without one the catalog table of that name."""
+    return TableRef(catalog, schema, table) if root is None else TableRef.under(root, catalog, schema, table)
+
+
 def each_table(
     spark: SparkSession,
     work: Iterable[tuple[TableRef, Callable[[], Row]]],
@@ -106,23 +115,32 @@ def land_catalog(
     registry: DataFrame,
     source: str,
     target: str,
-    target_root: str,
+    target_root: str | None,
     exclude_schemas: Iterable[str] = ("ai",),
     exclude_tables: Iterable[str] = EXCLUDED_TABLES,
     rename: Mapping[str, str] | None = None,
     mode: str = "strict",
     fail_fast: bool = False,
     workers: int = 8,
+    dedupe: bool = False,
+    prune_on: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Land every table of a catalog; ``rename`` maps schema names, such as that of the
-    information schema, which the target catalog has of its own."""
+    information schema, which the target catalog has of its own.
+
+    Targets are ledgers under ``target_root``, or tables of the catalog ``target`` without one.
+    ``prune_on`` names, by ``schema.table`` of the source, the column that bounds what is read of
+    the target.
+    """
     rename = rename or {}
+    prune_on = prune_on or {}
     of_source = registry.filter(registry["catalog"] == source)
     refs = to_refs(apply_name_exclusions(of_source, exclude_schemas, exclude_tables))
 
     def landing(ref: TableRef) -> tuple[TableRef, Callable[[], Row]]:
         schema = rename.get(ref.schema, ref.schema)
-        goal = TableRef.under(target_root, target, schema, ref.table, LEDGER)
-        return goal, lambda: land_table(spark, ref, goal, mode)
+        goal = target_of(target_root, target, schema, ref.table)
+        bound = prune_on.get(f"{ref.schema}.{ref.table}")
+        return goal, lambda: land_table(spark, ref, goal, mode, dedupe, bound)
 
     return each_table(spark, map(landing, refs), fail_fast, workers)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions import KEY, row_key
+from tallybook.operators.rows import conform, reject_key_name, widened_schema
 from tallybook.sources.paths import list_folders, path_exists
 
 LEDGER = "ledger"
@@ -83,40 +84,10 @@ def load_view(
     return df if prefix is None else df.withColumnsRenamed({c: f"{prefix}_{c}" for c in df.columns})
 
 
-def widened_type(old: T.DataType, new: T.DataType) -> T.DataType:
-    """The old type, with struct fields that only the new one has added at any depth."""
-    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
-        return widened_schema(old, new)
-    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
-        return T.ArrayType(widened_type(old.elementType, new.elementType))
-    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
-        return T.MapType(old.keyType, widened_type(old.valueType, new.valueType))
-    return old
-
-
-def widened_schema(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Columns of ``old`` in place, those only in ``new`` at the end, all nullable."""
-    incoming = {f.name.lower(): f.dataType for f in new.fields}
-    known = {f.name.lower() for f in old.fields}
-    fields = [
-        T.StructField(f.name, widened_type(f.dataType, incoming.get(f.name.lower(), f.dataType)))
-        for f in old.fields
-    ]
-    fields += [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in known]
-    return T.StructType(fields)
-
-
 def without_key(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name != KEY])
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` in the columns, order and types of ``schema``; a type that cannot be stored fails."""
-    renamed = {f.name.lower(): f.name for f in schema.fields}
-    named = df.withColumnsRenamed({c: renamed[c.lower()] for c in df.columns if c.lower() in renamed})
-    return named.to(schema)
-
-
 def _write_batch(df: DataFrame, ref: TableRef) -> int:
     """Write one batch and return its row count, counted by the write itself."""
     spark = df.sparkSession
@@ -132,38 +103,76 @@ def _write_batch(df: DataFrame, ref: TableRef) -> int:
     return written.get["rows"]
 
 
-def create_table(df: DataFrame, ref: TableRef) -> int | None:
-    """Write a new table; fails when it is there already. Ledger tables return the row count."""
+def quoted_name(*parts: str) -> str:
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
+def ensure_schema(spark: SparkSession, ref: TableRef) -> None:
+    """Create the schema of a catalog table where it is missing; tables under a path need none."""
     if ref.path is None:
-        df.write.mode("errorifexists").saveAsTable(ref.name)
-        return None
-    if ref.format != LEDGER:
-        df.write.mode("errorifexists").format(ref.format).save(ref.path)
-        return None
-    if table_exists(df.sparkSession, ref):
-        raise FileExistsError(f"{ref.name} exists")
-    return _write_batch(df, ref)
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted_name(ref.catalog, ref.schema)}")
+
+
+def _counted(df: DataFrame, ref: TableRef) -> tuple[DataFrame, Observation]:
+    written = Observation(f"rows of {ref.name}")
+    return df.observe(written, F.count(F.lit(1)).alias("rows")), written
+
+
+def create_table(df: DataFrame, ref: TableRef) -> int:
+    """Write a new table, with its schema if need be, and return its row count; fails when it is there.
+
+    Only a ledger stores row keys; other tables hold the columns of ``df`` and nothing else.
+    """
+    if ref.path is not None and ref.format == LEDGER:
+        if table_exists(df.sparkSession, ref):
+            raise FileExistsError(f"{ref.name} exists")
+        return _write_batch(df, ref)
+    ensure_schema(df.sparkSession, ref)
+    plain, written = _counted(df.drop(KEY), ref)
+    if ref.path is None:
+        plain.write.mode("errorifexists").saveAsTable(quoted_name(ref.catalog, ref.schema, ref.table))
+    else:
+        plain.write.mode("errorifexists").format(ref.format).save(ref.path)
+    return written.get["rows"]
 
 
 def append_table(df: DataFrame, ref: TableRef, evolve: bool = True) -> int:
-    """Append to a ledger table and return the row count.
+    """Append and return the row count.
 
-    New columns widen the table unless ``evolve`` is off, when they are an error. Small
-    inputs spread over many tasks are packed into files of a sensible size on the way.
+    New columns widen ledger and catalog tables unless ``evolve`` is off; then, and for plain
+    folders of files, which keep no schema of their own, they are an error. Small inputs spread
+    over many tasks are packed into files of a sensible size on the way.
     """
-    current = read_table(df.sparkSession, ref).schema
+    spark = df.sparkSession
+    current = read_table(spark, ref).schema
     merged = widened_schema(current, without_key(df.schema))
-    if not evolve and len(merged) > len(current):
-        raise ValueError(f"{ref.name} lacks columns {merged.names[len(current):]}")
-    key = [T.StructField(KEY, T.BinaryType())] if KEY in df.columns else []
-    return _write_batch(conform(df, T.StructType(merged.fields + key)).hint("rebalance"), ref)
+    ledger = ref.path is not None and ref.format == LEDGER
+    more = merged.fields[len(current) :]
+    if more and (not evolve or not (ledger or ref.path is None)):
+        raise ValueError(f"{ref.name} lacks columns {[f.name for f in more]}")
+    if ledger:
+        key = [T.StructField(KEY, T.BinaryType())] if KEY in df.columns else []
+        return _write_batch(conform(df, T.StructType(merged.fields + key)).hint("rebalance"), ref)
+    plain, written = _counted(conform(df.drop(KEY), merged).hint("rebalance"), ref)
+    if ref.path is not None:
+        plain.write.mode("append").format(ref.format).save(ref.path)
+        return written.get["rows"]
+    name = quoted_name(ref.catalog, ref.schema, ref.table)
+    if more:
+        added = ", ".join(f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in more)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+    plain.write.insertInto(name)
+    return written.get["rows"]
 
 
-def replace_table(df: DataFrame, ref: TableRef) -> None:
-    """Full overwrite of a result table."""
-    if ref.path is None:
-        df.write.mode("overwrite").saveAsTable(ref.name)
-    elif ref.format == LEDGER:
+def replace_table(df: DataFrame, ref: TableRef) -> int:
+    """Full overwrite of a result table; returns its row count."""
+    if ref.path is not None and ref.format == LEDGER:
         raise ValueError("a ledger table is append-only")
+    ensure_schema(df.sparkSession, ref)
+    plain, written = _counted(df, ref)
+    if ref.path is None:
+        plain.write.mode("overwrite").saveAsTable(quoted_name(ref.catalog, ref.schema, ref.table))
     else:
-        df.write.mode("overwrite").format(ref.format).save(ref.path)
+        plain.write.mode("overwrite").format(ref.format).save(ref.path)
+    return written.get["rows"]

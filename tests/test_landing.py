@@ -154,3 +154,47 @@ def test_empty_sources_and_targets(spark, goal, empty):
     assert outcome(append_new(none, goal)) == ("created", 0)
     assert outcome(append_new(some, goal)) == ("appended", 4)
     assert outcome(append_new(none, goal)) == ("unchanged", 0)
+
+
+@pytest.fixture
+def named(spark):
+    spark.sql("DROP SCHEMA IF EXISTS tallybook_made CASCADE")
+    yield TableRef("spark_catalog", "tallybook_made", "t")
+    spark.sql("DROP SCHEMA IF EXISTS tallybook_made CASCADE")
+
+
+def test_catalog_targets_land_again_and_widen(spark, named, rows):
+    narrow = spark.createDataFrame([(1, "a"), (1, "a")], "i int, s string")
+    assert outcome(append_new(narrow, named)) == ("created", 2)
+    assert outcome(append_new(narrow, named)) == ("unchanged", 0)
+    assert read_table(spark, named).columns == ["i", "s"]
+    wide = spark.createDataFrame([("b", 2, 0.5), ("a", 1, None)], "S string, i int, d double")
+    assert outcome(append_new(wide, named)) == ("appended", 1)
+    assert outcome(append_new(wide, named)) == ("unchanged", 0)
+    assert rows(read_table(spark, named)) == [(1, "a", None), (1, "a", None), (2, "b", 0.5)]
+
+
+def test_folders_of_files_land_again(spark, root, rows):
+    goal = TableRef("c", "s", "t", f"{root}/plain")
+    assert outcome(append_new(spark.range(3), goal)) == ("created", 3)
+    assert outcome(append_new(spark.range(5), goal)) == ("appended", 2)
+    assert outcome(append_new(spark.range(5), goal)) == ("unchanged", 0)
+    assert rows(read_table(spark, goal)) == [(i,) for i in range(5)]
+    with pytest.raises(ValueError, match="lacks"):
+        append_new(spark.range(9).withColumn("x", F.lit(1)), goal)
+
+
+def test_whole_catalogs_land_in_a_catalog(spark, named, plain):
+    events = spark.range(40).select("id", F.timestamp_seconds("id").alias("ts"))
+    refs = [plain("t", events, schema="tallybook_made"), plain("u", spark.range(2), schema="tallybook_made")]
+    args = (spark, registry_of(spark, refs), "a_system", "spark_catalog", None)
+    for action in ("created", "unchanged"):
+        done = land_catalog(*args, prune_on={"tallybook_made.t": "ts"}, fail_fast=True).collect()
+        assert {(r["table"], r["action"]) for r in done} == {
+            ("spark_catalog.tallybook_made.t", action), ("spark_catalog.tallybook_made.u", action),
+        }
+
+
+def test_a_source_column_named_like_the_key_is_refused(spark, goal):
+    with pytest.raises(ValueError, match="reserved"):
+        append_new(spark.range(2).withColumn("_Row_Key", F.lit(1)), goal)

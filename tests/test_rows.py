@@ -1,8 +1,10 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallybook.functions import KEY
 from tallybook.operators.rows import find_unseen, new_rows, union_sources
 
 
@@ -25,23 +27,48 @@ def brute(source, target):
     return sorted((r for r in source if r not in known), key=repr)
 
 
-@pytest.mark.parametrize("small_rows", [0, 10, 100, 100_000])
-@pytest.mark.parametrize("rows_per_task", [5, 1_000_000])
-def test_every_path_gives_all_copies_of_unseen_rows(tables, rows, small_rows, rows_per_task):
+def test_all_copies_of_unseen_rows(tables, rows):
     (source, target), (left, right) = tables
-    found = find_unseen(left, right, small_rows=small_rows, rows_per_task=rows_per_task)
+    found = find_unseen(left, right)
     want = brute(source, target)
     assert rows(found.rows, "i", "t") == want
     assert found.row_count == len(want)
 
 
-@pytest.mark.parametrize("small_rows", [0, 100_000])
-def test_nothing_new(tables, small_rows):
+def test_nothing_new(tables):
     _, (left, _) = tables
-    found = find_unseen(left, left, small_rows=small_rows)
+    found = find_unseen(left, left)
     assert found.row_count == 0 and found.rows.count() == 0
 
 
+def test_names_and_types_of_the_target_hold(spark):
+    target = spark.sql("select 1 as Id, cast(1.5 as decimal(10,4)) d")
+    assert new_rows(spark.sql("select cast(1.5 as decimal(10,2)) d, 1 as id"), target).count() == 0
+    assert new_rows(spark.sql("select cast(2.5 as decimal(10,2)) d, 1 as id"), target).count() == 1
+
+
+def test_the_name_of_the_key_is_refused(spark):
+    clash = spark.range(2).withColumn(KEY, F.lit("mine"))
+    for source, target in ((clash, spark.range(1)), (spark.range(1), clash)):
+        with pytest.raises(ValueError, match="reserved"):
+            new_rows(source, target)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC"])
+def test_pruning_in_the_hour_that_a_clock_repeats(spark, zone, monkeypatch):
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        instants = [1762063200 + 900 * k for k in range(12)]
+        rows = spark.createDataFrame([(i,) for i in instants], "s long").select(F.timestamp_seconds("s").alias("ts"))
+        one = rows.filter("ts = timestamp_seconds(1762065000)")
+        assert new_rows(one, rows, prune_on="ts").count() == 0
+        assert new_rows(rows, one, prune_on="ts").count() == 11
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_compat_takes_null_and_empty_as_equal(spark, rows):
     source = spark.createDataFrame([(None, "x"), ("", "y")], "p string, q string")
     target = spark.createDataFrame([("", "x"), (None, "y")], "p string, q string")
@@ -74,8 +101,8 @@ def test_union_fills_missing_columns_and_skips_absent_sources(spark, rows):
     assert union_sources([None]) is None
 
 
-def test_plan_shuffles_keys_not_rows(spark):
+def test_no_rows_meet_in_one_task(spark):
     source = spark.range(2000).withColumn("wide", F.lit("w"))
-    plan = find_unseen(source, source.filter("id < 1990"), small_rows=100).rows
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    plan = find_unseen(source, source.filter("id < 1990")).rows
+    plan.count()
+    assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
