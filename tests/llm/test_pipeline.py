@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stages_are_registered():
-    assert contract.queries()["pipeline"] is corpus_pipeline.run
+    assert contract.queries()["pipeline"].args == (corpus_pipeline.run,)
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "ngram_jaccard_join", "substring_dedup", "benchmark_decontamination", "sentencepiece",
     ]
