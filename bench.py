@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -68,7 +69,9 @@ def main() -> None:
     global _LANDED
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, memory="16g", **{"spark.sql.shuffle.partitions": cpus})
+    scratch = tempfile.mkdtemp(prefix="tallybook-bench-")
+    settings = {"spark.sql.shuffle.partitions": cpus, "spark.checkpoint.dir": scratch}
+    spark = local_session(cpus, memory="16g", **settings)
     _LANDED = scratch_path(spark, "bench")
     src = Landed(spark, sf_dir)
     for name in VIEWS:

@@ -17,6 +17,7 @@ from tallybook.functions import quoted, row_fingerprint
 from tallybook.operators.aggregates import distinct_values_csv, source_counts
 from tallybook.operators.filters import apply_exclusions, user_assets
 from tallybook.operators.reshape import (
+    map_entries_long,
     map_key_set,
     map_to_columns,
     prefix_columns,
@@ -587,14 +588,18 @@ def users_wide(src: Inputs) -> DataFrame:
 
 @query(
     """select id as user_id, user_name as "userName", display_name as "displayName", active,
-              cast(p as string) as role_position, 't' || p as role_type, segment || '_' || p as role_value
+              'role' as kind, p as position, 't' || p as type, segment || '_' || p as value,
+              cast(null as boolean) as "primary"
        from {fx_users}, (values (1), (2)) v(p) where p <= n_roles
        union all
-       select id, user_name, display_name, active, null, null, null
-       from {fx_users} where n_roles = 0"""
+       select id, user_name, display_name, active, 'email', p, 'm' || p, id || '@' || p, p = 1
+       from {fx_users}, (values (1), (2), (3)) v(p) where p <= n_emails
+       union all
+       select id, user_name, display_name, active, null, null, null, null, null
+       from {fx_users} where n_roles = 0 and n_emails = 0"""
 )
 def users_long(src: Inputs) -> DataFrame:
-    return _as_text(user_inventory(_users(src), style="long"), "role_position")
+    return user_inventory(_users(src), style="long")
 
 
 # --- assets ------------------------------------------------------------------------------
@@ -791,7 +796,21 @@ def map_as_columns(src: Inputs) -> DataFrame:
     )
     filled = F.map_filter(pairs, lambda _, v: v.isNotNull())
     rows = src("part").select("p_partkey", filled.alias("info"))
-    return map_to_columns(rows, "info", required=["policy_id"]).drop("info")
+    return map_to_columns(rows, "info", ["brand", "policy_id", "size", "type"]).drop("info")
+
+
+@query(
+    """select p_partkey, 'brand' as key, p_brand as value from {part}
+       union all select p_partkey, 'type', p_type from {part}
+       union all select p_partkey, 'size', cast(p_size as string) from {part} where p_size > 25"""
+)
+def map_as_rows(src: Inputs) -> DataFrame:
+    pairs = F.create_map(
+        F.lit("brand"), "p_brand", F.lit("type"), "p_type", F.lit("size"),
+        F.when(F.col("p_size") > 25, F.col("p_size").cast("string")),
+    )
+    filled = F.map_filter(pairs, lambda _, v: v.isNotNull())
+    return map_entries_long(src("part").select("p_partkey", filled.alias("info")), "info")
 
 
 @query(

@@ -55,10 +55,11 @@ VIEWS = {
         from {ORDER_CUSTOMER} join {{nation}} on c_nationkey = n_nationkey
         where o_orderpriority like '1%' and c_custkey % 10 = 0""",
     "fx_catalog_privileges": f"""
-        select distinct n_name as catalog_name, {USER} as grantee,
+        select distinct n_name as catalog_name,
+               concat('group_', cast(cast(floor(user_id / 25) as bigint) % 2 as string)) as grantee,
                'USE_CATALOG' as privilege_type
         from {{events}} join {{nation}} on user_id % 25 = n_nationkey
-        where event_type = 'purchase' and user_id < 50""",
+        where event_type = 'purchase'""",
     "fx_schema_privileges": f"""
         select distinct n_name as catalog_name, c_mktsegment as schema_name,
                {USER} as grantee, 'USE_SCHEMA' as privilege_type

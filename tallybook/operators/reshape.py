@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import quoted
 
-MAX_COLUMNS = 10_000
-
 
 def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[quoted(c).alias(f"{prefix}_{c}") for c in df.columns])
@@ -33,29 +31,35 @@ def map_key_set(df: DataFrame, map_col: str) -> DataFrame:
 
 
 def map_to_columns(
-    df: DataFrame,
-    map_col: str,
-    keys: Sequence[str] | None = None,
-    required: Sequence[str] = (),
-    keep: Sequence[str] = (),
+    df: DataFrame, map_col: str, keys: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One string column per map key, replacing a column of the same name unless in ``keep``.
+    """One string column per named map key, replacing a column of the same name unless in ``keep``.
 
-    With ``keys`` given nothing is run ahead. Without, one job gathers the key names, which
-    become the schema; more names than a table can have columns is an error. ``required``
-    keys are there in any case, as NULL where no row has them.
+    The keys become the schema, so they are the caller's to name; ``map_entries_long`` gives the
+    content of maps whose keys aren't known.
     """
-    if keys is None:
-        rows = map_key_set(df, map_col).limit(MAX_COLUMNS + 1).collect()
-        if len(rows) > MAX_COLUMNS:
-            raise ValueError(f"{map_col} has over {MAX_COLUMNS} keys; name the wanted keys")
-        keys = sorted(r["key"] for r in rows)
-    names = [k for k in dict.fromkeys([*keys, *required]) if k not in keep]
+    names = [k for k in dict.fromkeys(keys) if k not in keep]
     kept = [quoted(c) for c in df.columns if c not in names]
     values = [F.try_element_at(quoted(map_col), F.lit(k)).alias(k) for k in names]
     return df.select(*kept, *values)
 
 
+def map_entries_long(df: DataFrame, map_col: str) -> DataFrame:
+    """One row per entry, as ``key`` and ``value`` beside the other columns, whatever the keys are.
+
+    Rows without a map or with an empty one stay once, with NULL for both.
+    """
+    others = [quoted(c) for c in df.columns if c != map_col]
+    return df.select(*others, F.explode_outer(quoted(map_col)).alias("key", "value"))
+
+
+def keys_present(df: DataFrame, map_col: str, wanted: Sequence[str]) -> list[str]:
+    """Those of the wanted keys that any row's map has, by one aggregate of one row."""
+    found = [F.max(F.map_contains_key(quoted(map_col), k)).alias(k) for k in wanted]
+    row = df.agg(*found).first()
+    return [k for k in wanted if row[k]]
+
+
 def flatten_arrays(
     df: DataFrame, arrays: Mapping[str, Sequence[str]], style: str = "wide"
 ) -> DataFrame:
@@ -87,8 +91,6 @@ def flatten_arrays(
     for name, fields in arrays.items():
         stem, size = singular(name), sizes[name]
         longest = seen[f"longest_{name}"] or 0
-        if longest > MAX_COLUMNS:
-            raise ValueError(f"{name} has up to {longest} elements; use style='long'")
         if seen[f"single_{name}"]:
             columns += [
                 F.when(size == 1, F.get(quoted(name), 0)[f]).alias(f"{stem}_{f}") for f in fields

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,14 +17,13 @@ DEFAULTS = {
 
 
 def local_session(cores: str | int = "*", memory: str = "8g", **extra: str) -> SparkSession:
-    """A local session for tests and benches; clusters bring their own."""
+    """A local session for tests and benches; clusters bring their own. Pass ``spark.checkpoint.dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tallybook")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallybook-checkpoint-"))
     )
     for key, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(key, value)
@@ -34,22 +32,37 @@ def local_session(cores: str | int = "*", memory: str = "8g", **extra: str) -> S
     return spark
 
 
+SCRATCH = "spark.tallybook.scratch"
+"""Names the scratch folder where ``spark.checkpoint.dir`` is unset; every executor must see it."""
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can see, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can see, as named by ``spark.checkpoint.dir`` or else ``SCRATCH``.
 
-    Without the setting a temporary folder is used, but only when driver and executors
-    are one local process; on a cluster a missing setting is an error.
+    The library has no folder of its own to fall back on: a missing setting is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tallybook-scratch-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return folder.rstrip("/")
+
+
+def _scratch_of(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tallybook/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/tallybook/{label}-{uuid.uuid4().hex}"
+    """A new path in this application's part of the scratch folder."""
+    return f"{_scratch_of(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put in the scratch folder.
+
+    For the end of a run: DataFrames that the library returned may read from there until then.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_of(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:

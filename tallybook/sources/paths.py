@@ -24,7 +24,11 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
-def absolute_path(spark: SparkSession, path: str) -> str:
-    """Path without scheme and authority, as it is compared with file names."""
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """Path with scheme and host, as file names carry them; local ones with one slash."""
     fs, location = _locate(spark, path)
-    return fs.makeQualified(location).toUri().getPath().rstrip("/")
+    return full_address(fs.makeQualified(location).toString())
+
+
+def full_address(uri: str) -> str:
+    return ("file:/" + uri[5:].lstrip("/") if uri.startswith("file:") else uri).rstrip("/")

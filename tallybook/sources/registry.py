@@ -44,15 +44,21 @@ def registry_from_root(
     return registry_of(spark, refs, origin)
 
 
-def registry_from_catalogs(spark: SparkSession, catalogs: Iterable[str]) -> DataFrame:
-    """Tables that the session's catalogs list; path stays NULL and reads go by name."""
-    refs = []
+def registry_from_catalogs(
+    spark: SparkSession, catalogs: Iterable[str], shared: Iterable[str] = ()
+) -> DataFrame:
+    """Tables that the session's catalogs list; path stays NULL and reads go by name.
+
+    Catalogs named in ``shared`` come from a share and are marked so.
+    """
+    refs, shared = [], set(shared)
     for catalog in catalogs:
         for row in spark.sql(f"SHOW SCHEMAS IN `{catalog}`").collect():
             for table in spark.sql(f"SHOW TABLES IN `{catalog}`.`{row[0]}`").collect():
                 if not table["isTemporary"]:
                     refs.append(TableRef(catalog, row[0], table["tableName"]))
-    return registry_of(spark, refs)
+    own = registry_of(spark, [r for r in refs if r.catalog not in shared])
+    return own.unionByName(registry_of(spark, [r for r in refs if r.catalog in shared], "share"))
 
 
 def discover_sources(

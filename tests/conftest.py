@@ -4,8 +4,9 @@ from tallybook.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(8, memory="8g")
+def spark(tmp_path_factory):
+    scratch = tmp_path_factory.mktemp("scratch")
+    return local_session(8, memory="8g", **{"spark.checkpoint.dir": str(scratch)})
 
 
 @pytest.fixture

@@ -1,24 +1,28 @@
 import pytest
 
-from tallybook.operators import reshape
-from tallybook.operators.reshape import map_key_set, map_to_columns, prefix_columns, select_available
+from tallybook.operators.reshape import (
+    keys_present,
+    map_entries_long,
+    map_key_set,
+    map_to_columns,
+    prefix_columns,
+    select_available,
+)
 from tallybook.plans.compute import NARROW_COLUMNS, POLICY_CREATOR, WIDE_COLUMNS, compute_policy
 from tallybook.plans.models import MODEL_VERSION_COLUMNS, model_versions
 from tallybook.sources.payloads import DETAIL_SCHEMA, read_payload
 
 
-def test_map_to_columns(spark, rows, monkeypatch):
+def test_map_to_columns(spark, rows):
     df = spark.sql("select 1 id, map('a', 'x') m union all select 2, map('b', 'y') union all select 3, null")
     assert rows(map_key_set(df, "m")) == [("a",), ("b",)]
-    got = map_to_columns(df, "m", required=["z"])
+    got = map_to_columns(df, "m", ["a", "b", "z"])
     assert got.columns == ["id", "m", "a", "b", "z"]
     assert rows(got.drop("m")) == [(1, "x", None, None), (2, None, "y", None), (3, None, None, None)]
-    fixed = map_to_columns(df, "m", keys=["b"])
-    assert fixed.columns == ["id", "m", "b"]
-    assert map_to_columns(df, "m", keys=["id", "a"], keep=["id"]).first()["id"] in (1, 2, 3)
-    monkeypatch.setattr(reshape, "MAX_COLUMNS", 1)
-    with pytest.raises(ValueError, match="keys"):
-        map_to_columns(df, "m")
+    assert map_to_columns(df, "m", ["id", "a"], keep=["id"]).first()["id"] in (1, 2, 3)
+    assert rows(map_entries_long(df, "m")) == [(1, "a", "x"), (2, "b", "y"), (3, None, None)]
+    assert keys_present(df, "m", ["z", "b", "a"]) == ["b", "a"]
+    assert keys_present(df.filter("id > 3"), "m", ["a"]) == []
 
 
 def test_select_available_and_prefix(spark):

@@ -5,11 +5,13 @@ from tallybook.plans.reconcile import reconcile
 from tallybook.plans.stats import (
     asset_properties,
     asset_stats,
+    live_properties,
     properties_map,
     table_properties,
     table_stats,
 )
 from tallybook.operators.aggregates import source_counts
+from tallybook.sources.paths import full_address
 from tallybook.sources.registry import registry_of
 from tallybook.sources.tables import TableRef
 
@@ -52,12 +54,32 @@ def test_stats_of_catalog_tables_and_of_nothing(spark, tmp_path):
     try:
         ref = TableRef("spark_catalog", "default", "tallybook_counted")
         got = table_stats(spark, registry_of(spark, [ref])).first()
-        assert got["row_count"] == 6 and got["size_in_bytes"] == 0
+        assert got["row_count"] == 6 and got["size_in_bytes"] == data_bytes(f"{tmp_path}/x") > 0
+        spark.sql("alter table tallybook_counted set tblproperties ('team' = 'a')")
+        props = live_properties(spark, registry_of(spark, [ref])).first()["properties"]
+        assert props["team"] == "a"
     finally:
         spark.sql("drop table tallybook_counted")
     assert table_stats(spark, registry_of(spark, [])).count() == 0
 
 
+def test_addresses_keep_store_and_bucket():
+    assert full_address("s3://eu/a/b/") == "s3://eu/a/b" != full_address("s3://us/a/b")
+    assert full_address("file:///a/b") == full_address("file:/a/b") == "file:/a/b"
+
+
+def test_a_view_has_rows_and_no_size(spark, tmp_path):
+    spark.sql(f"create table tallybook_base using parquet location '{tmp_path}/b' as select id from range(4)")
+    spark.sql("create view tallybook_seen as select * from tallybook_base")
+    try:
+        ref = TableRef("spark_catalog", "default", "tallybook_seen")
+        got = table_stats(spark, registry_of(spark, [ref])).first()
+        assert (got["row_count"], got["size_in_bytes"], got["size_in_mb"]) == (4, None, None)
+    finally:
+        spark.sql("drop view tallybook_seen")
+        spark.sql("drop table tallybook_base")
+
+
 NAMES = "catalog_name string, schema_name string, table_name string"
 
 
