@@ -103,6 +103,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
 }
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_JACCARD = f"""
+WITH RECURSIVE
+words AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWERED}, ''), {_WORD}) AS ws FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) >= 5 THEN list_transform(range(len(ws) - 4), lambda i: array_to_string(ws[i + 1 : i + 5], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+  WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reached(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM words
+  UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.r = links.a)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+_DEDUP = f"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+windows AS (
+  SELECT doc_id, p, array_to_string(ws[p + 1 : p + 13], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(len(ws) - 12)) AS p FROM words WHERE len(ws) >= 13)),
+firsts AS (SELECT k, min(doc_id) AS first_doc FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, p + j AS p
+  FROM windows JOIN firsts USING (k), (SELECT unnest(range(13)) AS j) WHERE doc_id > first_doc),
+single AS (SELECT doc_id, unnest(range(len(ws))) AS p, unnest(ws) AS word FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM single ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": _JACCARD,
+    "op7_substring_dedup": _DEDUP,
     "op9_decontamination": decontamination.oracle(),
 }
