@@ -6,6 +6,7 @@ consolidate write their tables to the shared scratch folder and return what is i
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,10 +25,20 @@ from tallybook.operators.reshape import (
     select_available,
 )
 from tallybook.operators.rows import new_rows, union_sources
-from tallybook.plans.assets import ASSET_COLUMNS, VOLUME_COLUMNS, asset_metadata, volume_assets
+from tallybook.plans.assets import (
+    ASSET_COLUMNS,
+    GRANT_FIELDS,
+    TAG_FIELDS,
+    VOLUME_COLUMNS,
+    asset_grants,
+    asset_metadata,
+    asset_tags,
+    volume_assets,
+)
 from tallybook.plans.compute import compute_policy
 from tallybook.plans.consolidation import consolidate_all, consolidate_table
 from tallybook.plans.landing import append_new, land_catalog, land_table
+from tallybook.plans.inventory import InventorySources, save_inventory
 from tallybook.plans.models import model_versions
 from tallybook.plans.reconcile import reconcile
 from tallybook.plans.stats import (
@@ -692,6 +703,42 @@ def assets_metadata_with_gaps(src: Inputs) -> DataFrame:
     return asset_metadata(views)
 
 
+LEVEL_KEYS = {
+    "catalog": ["catalog_name"],
+    "schema": ["catalog_name", "schema_name"],
+    "table": ["table_catalog", "table_schema", "table_name"],
+    "column": ["table_catalog", "table_schema", "table_name", "column_name"],
+}
+LEVEL_VIEWS = {"catalog": "catalogs", "schema": "schemata", "table": "tables", "column": "columns"}
+
+
+def _long_sql(kind: str, levels: list[str], fields: list[str], given: list[str]) -> str:
+    names = ["catalog_name", "schema_name", "table_name", "column_name"]
+    parts = []
+    for level in levels:
+        own = LEVEL_KEYS[level]
+        keys = names[: len(own)] if kind == "tags" else own
+        shown = [f"t.{k} as {n}" for k, n in zip(keys, names, strict=False)]
+        shown += [f"cast(null as string) as {n}" for n in names[len(keys) :]]
+        shown += [f"t.{f}" if f in given else f"cast(null as string) as {f}" for f in fields]
+        match = " and ".join(f"e.{a} = t.{b}" for a, b in zip(own, keys, strict=True))
+        parts.append(
+            f"""select distinct '{level}' as level, {', '.join(shown)} from {{fx_{level}_{kind}}} t
+                where exists (select 1 from {{fx_{LEVEL_VIEWS[level]}}} e where {match})"""
+        )
+    return " union all ".join(parts)
+
+
+@query(_long_sql("tags", ["catalog", "schema", "table", "column"], TAG_FIELDS, TAG_FIELDS))
+def assets_tags(src: Inputs) -> DataFrame:
+    return asset_tags(_asset_views(src))
+
+
+@query(_long_sql("privileges", ["catalog", "schema", "table"], GRANT_FIELDS, ["grantee", "privilege_type"]))
+def assets_grants(src: Inputs) -> DataFrame:
+    return asset_grants(_asset_views(src))
+
+
 VOLUME_VALUES = {
     "volumes_volume_catalog": "v.volume_catalog",
     "volumes_volume_schema": "v.volume_schema",
@@ -972,3 +1019,89 @@ def versions_of_models(src: Inputs) -> DataFrame:
         text("dependencies", "type", "name").alias("dependencies"),
         text("aliases", "alias_name", "version_num").alias("aliases"),
     )
+
+
+# --- the whole inventory -----------------------------------------------------------------
+
+SAVED = {
+    "workspaces_status": "workspaces_status",
+    "running_workspace_details": "running_workspaces",
+    "users": "users_wide",
+    "asset_metadata": "assets_metadata",
+    "table_size_and_properties": None,
+    "compute_policy": "compute_policies",
+    "volume_assets": "volumes_assets",
+    "model_versions": "versions_of_models",
+}
+_SAVED_STATS = portable(
+    """select distinct table_catalog, table_schema, table_name from {fx_columns}
+       where table_catalog <> 'NATION_0'"""
+)
+
+
+@query()
+def inventory_saved(src: Inputs) -> DataFrame:
+    """Rows of every table that an inventory run wrote, counted on reading them back."""
+    models, versions, details = _model_tables(src)
+    sources = InventorySources(
+        workspaces=read_payload(src.spark, src.json(src("fx_workspaces"), "workspaces"), WORKSPACE_SCHEMA),
+        usage=src("fx_usage"),
+        users=_users(src),
+        views=_asset_views(src),
+        stats=src.sql(STATS),
+        properties=properties_map(src.sql(PROPERTIES)),
+        clusters=src("fx_clusters"),
+        cluster_payload=src("fx_cluster_payload"),
+        policy_payload=src("fx_policy_payload"),
+        volumes=src("fx_volumes"),
+        volume_tags=src("fx_volume_tags"),
+        volume_privileges=src("fx_volume_privileges"),
+        models=models,
+        versions=versions,
+        details=details,
+        host_suffixes=HOSTS,
+        exclude_schemas=["BUILDING"],
+        exclude_catalogs=["NATION_0"],
+    )
+    root = scratch_path(src.spark, "inventory")
+
+    def target(name: str) -> TableRef:
+        return TableRef("hub", "inventory", name, f"{root}/{name}")
+
+    save_inventory(src.spark, sources, target, fail_fast=True)
+    counts = [
+        read_table(src.spark, target(name)).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        for name in SAVED
+    ]
+    return functools.reduce(DataFrame.unionAll, counts)
+
+
+ORACLES["inventory_saved"] = " union all ".join(
+    f"select '{name}' as table_name, count(*) as row_count from ({ORACLES[of] if of else _SAVED_STATS}) x"
+    for name, of in SAVED.items()
+)
+
+
+# --- landing into catalog tables ---------------------------------------------------------
+
+
+@query(
+    """select 1 as run, 'created' as action, count(*) as row_count from {orders} where o_orderdate < '2000-12-01'
+       union all select 2, 'appended', count(*) from {orders} where o_orderdate >= '2000-12-01'
+       union all select 3, 'unchanged', 0
+       union all select 4, 'read', count(*) from {orders}"""
+)
+def land_replay_catalog(src: Inputs) -> DataFrame:
+    """Orders landed in a new schema of the session's catalog three times; then its rows, key column and all."""
+    schema = "tallybook_" + scratch_path(src.spark, "x").rsplit("-", 1)[1][:12]
+    goal = TableRef("spark_catalog", schema, "orders")
+    orders = src("orders")
+    try:
+        done = [append_new(orders.filter("o_orderdate < '2000-12-01'"), goal), append_new(orders, goal), append_new(orders, goal)]
+        rows = [(i + 1, r["action"], r["row_count"]) for i, r in enumerate(done)]
+        landed = read_table(src.spark, goal)
+        assert landed.columns == orders.columns
+        rows.append((4, "read", landed.count()))
+    finally:
+        src.spark.sql(f"DROP SCHEMA IF EXISTS spark_catalog.{schema} CASCADE")
+    return src.spark.createDataFrame(rows, "run int, action string, row_count long")
