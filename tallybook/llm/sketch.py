@@ -156,11 +156,13 @@ def build(
     expected: int,
     depth: int = DEPTH,
     heavy_from: int | None = None,
+    least: int = 2,
 ) -> Sketch:
     """The sketch of all hashes that ``hashes`` gives for the batches of ``docs``.
 
     ``heavy_from`` is the count from which a cell of the first row counts as heavy; by default so
-    high that there are at most about ``HEAVY_CELLS`` of them.
+    high that there are at most about ``HEAVY_CELLS`` of them. With ``least`` 1 the bits say which
+    hashes were met at all.
     """
     width = width_for(expected)
     blocks = 1 << max(width - BLOCK_BITS, 0)
@@ -177,7 +179,7 @@ def build(
         current = -1
 
         def done() -> pa.RecordBatch:
-            bits = np.packbits(cells >= 2, bitorder="little")
+            bits = np.packbits(cells >= least, bitorder="little")
             heavy = np.flatnonzero(cells >= heavy_from) if current < blocks else np.zeros(0, np.int64)
             whole = heavy + ((current % blocks) << BLOCK_BITS)
             row = [
