@@ -22,13 +22,15 @@ from tallybook.checks.registered import (  # noqa: E402
     HOSTS,
     QUERIES,
     Inputs,
+    _asset_sql,
     _asset_views,
     _model_tables,
     _users,
 )
 from tallybook.checks.views import TABLES, VIEWS  # noqa: E402
+from tallybook.functions import KEY, row_key  # noqa: E402
 from tallybook.operators.rows import new_rows  # noqa: E402
-from tallybook.plans.assets import asset_metadata, volume_assets  # noqa: E402
+from tallybook.plans.assets import asset_grants, asset_metadata, asset_tags, volume_assets  # noqa: E402
 from tallybook.plans.compute import compute_policy  # noqa: E402
 from tallybook.plans.consolidation import consolidate_table  # noqa: E402
 from tallybook.plans.landing import append_new, land_catalog, land_table  # noqa: E402
@@ -38,7 +40,7 @@ from tallybook.plans.stats import properties_map, table_properties, table_stats
 from tallybook.plans.workspaces import user_inventory, workspace_inventory, workspace_status  # noqa: E402
 from tallybook.session import local_session, scratch_path  # noqa: E402
 from tallybook.sources.registry import registry_of  # noqa: E402
-from tallybook.sources.tables import TableRef, read_table  # noqa: E402
+from tallybook.sources.tables import TableRef, read_table, replace_table  # noqa: E402
 
 
 class Landed(Inputs):
@@ -103,11 +105,33 @@ def main() -> None:
     def read(ref: TableRef) -> DataFrame:
         return read_table(spark, ref)
 
+    plain_goal = TableRef("plain", "s", "lineitem", scratch_path(spark, "plain-lineitem"))
+    replace_table(lineitem.filter("l_shipdate < '2000-12-01'"), plain_goal)
+
+    def plain_append() -> int:
+        """The obvious way: hash both sides whole, anti join, count, then write."""
+        target = read(plain_goal)
+        keyed = lineitem.withColumn(KEY, row_key(lineitem.schema))
+        known = target.withColumn(KEY, row_key(target.schema)).select(KEY)
+        new = keyed.join(known, KEY, "left_anti").drop(KEY)
+        count = new.count()
+        new.write.mode("append").parquet(plain_goal.path)
+        return count
+
+    def plain_counts() -> int:
+        """A job per table."""
+        return len([src(t).count() for t in TABLES])
+
+    def plain_assets() -> int:
+        """One statement with a distinct over the widened result."""
+        return whole(src.sql(_asset_sql("full")).distinct())
+
     work = {
         "land_table_first": lambda: landed(land_table(spark, ninety, goal)),
         "land_table_10pct_new": lambda: landed(land_table(spark, whole_orders, goal)),
         "land_table_no_new": lambda: landed(land_table(spark, whole_orders, goal)),
         "land_lineitem_10pct_new": lambda: landed(append_new(lineitem, wide_goal)),
+        "plain_lineitem_10pct_new": plain_append,
         "land_catalog_14_tables": lambda: land_catalog(
             spark, registry, "main", "land", scratch_path(spark, "catalog"), fail_fast=True
         ).count(),
@@ -124,6 +148,9 @@ def main() -> None:
             )
         ),
         "asset_metadata": lambda: whole(asset_metadata(views)),
+        "plain_asset_metadata": plain_assets,
+        "asset_tags": lambda: whole(asset_tags(views)),
+        "asset_grants": lambda: whole(asset_grants(views)),
         "asset_metadata_by_name": lambda: whole(asset_metadata(views, match="name")),
         "volume_assets": lambda: whole(
             volume_assets(src("fx_volumes"), src("fx_volume_tags"), src("fx_volume_privileges"))
@@ -133,6 +160,7 @@ def main() -> None:
         ),
         "users_wide": lambda: whole(user_inventory(users)),
         "table_stats_14_tables": lambda: whole(table_stats(spark, registry)),
+        "plain_counts_14_tables": plain_counts,
         "table_properties": lambda: whole(table_properties(read(props))),
         "compute_policy": lambda: whole(
             compute_policy(
