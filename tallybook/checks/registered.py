@@ -35,7 +35,7 @@ from tallybook.plans.assets import (
     asset_tags,
     volume_assets,
 )
-from tallybook.plans.compute import compute_policy
+from tallybook.plans.compute import compute_policy, payload_map
 from tallybook.plans.consolidation import consolidate_all, consolidate_table
 from tallybook.plans.landing import append_new, land_catalog, land_table
 from tallybook.plans.inventory import InventorySources, save_inventory
@@ -703,6 +703,18 @@ def assets_metadata_with_gaps(src: Inputs) -> DataFrame:
     return asset_metadata(views)
 
 
+_NO_TAGS = ("{fx_table_tags}", "{fx_schema_tags}", "{fx_column_tags}", "{fx_schema_privileges}")
+
+
+@query(functools.reduce(lambda q, v: q.replace(v, f"(select * from {v} where 1 = 0)"), _NO_TAGS, _asset_sql("full")))
+def assets_metadata_few_views(src: Inputs) -> DataFrame:
+    """Optional views that are not there at all."""
+    views: dict[str, DataFrame | None] = _asset_views(src)
+    for name in _NO_TAGS:
+        views[name[4:-1]] = None
+    return asset_metadata(views)
+
+
 LEVEL_KEYS = {
     "catalog": ["catalog_name"],
     "schema": ["catalog_name", "schema_name"],
@@ -765,15 +777,32 @@ def volumes_assets(src: Inputs) -> DataFrame:
 # --- statistics and properties -----------------------------------------------------------
 
 
-@query()
-def table_sizes(src: Inputs) -> DataFrame:
-    """Sizes of files are nothing SQL can see; counts are checked by table_row_counts."""
+def _table_stats(src: Inputs) -> DataFrame:
     return table_stats(src.spark, reg.registry_of(src.spark, [src.file(t) for t in TABLES]))
 
 
+@query(
+    " union all ".join(
+        f"""select 'main' as catalog_name, 'sales' as schema_name, '{t}' as table_name,
+                   count(*) as row_count, true as has_bytes, true as units_agree from {{{t}}}"""
+        for t in TABLES
+    )
+)
+def table_sizes(src: Inputs) -> DataFrame:
+    """Bytes are nothing SQL can see (a test compares them with the files); what follows from them is."""
+    size = F.col("size_in_bytes")
+    agree = (F.col("size_in_gb") == F.round(size / 1024**3, 3)) & (
+        F.col("size_in_mb") == F.round(size / 1024**2, 3)
+    )
+    return _table_stats(src).select(
+        "catalog_name", "schema_name", "table_name", "row_count",
+        (size > 0).alias("has_bytes"), agree.alias("units_agree"),
+    )
+
+
 @query(" union all ".join(f"select '{t}' as table_name, count(*) as row_count from {{{t}}}" for t in TABLES))
 def table_row_counts(src: Inputs) -> DataFrame:
-    return table_sizes(src).select("table_name", "row_count")
+    return _table_stats(src).select("table_name", "row_count")
 
 
 @query(
@@ -1021,6 +1050,36 @@ def versions_of_models(src: Inputs) -> DataFrame:
     )
 
 
+@query(
+    """select 'cl_' || cast(p_partkey as string) as cluster_id,
+              '[' || cast(p_size as string) || ',' || cast(p_size + 1 as string) || ']' as sizes,
+              '{{"brand":"' || p_brand || '"}}' as label, cast(null as string) as absent
+       from {part}"""
+)
+def nested_payload_texts(src: Inputs) -> DataFrame:
+    """Lists and structs of a payload become JSON text in its map."""
+    payload = src("part").select(
+        F.concat(F.lit("cl_"), F.col("p_partkey").cast("string")).alias("cluster_id"),
+        F.array("p_size", F.col("p_size") + 1).alias("sizes"),
+        F.struct(F.col("p_brand").alias("brand")).alias("label"),
+        F.lit(None).cast("string").alias("absent"),
+    )
+    texts = payload_map(payload, ["cluster_id"], "info")
+    return map_to_columns(texts, "info", ["sizes", "label", "absent"]).drop("info")
+
+
+@query(
+    """select id as user_id, user_name as "userName", active, n_roles, n_emails from {fx_users}"""
+)
+def users_inferred(src: Inputs) -> DataFrame:
+    """Users read without a schema: fields that only some objects have are NULL in the others."""
+    found = read_payload(src.spark, src.json(_users(src), "users"))
+    count = lambda name: F.coalesce(F.size(name), F.lit(0))
+    return found.select(
+        F.col("id").alias("user_id"), "userName", "active", count("roles").alias("n_roles"), count("emails").alias("n_emails")
+    )
+
+
 # --- the whole inventory -----------------------------------------------------------------
 
 SAVED = {

@@ -51,7 +51,7 @@ VIEWS = {
     "fx_column_tags": f"""
         select distinct n_name as catalog_name, c_mktsegment as schema_name,
                c_name as table_name, o_orderpriority as column_name,
-               'pii' as tag_name, 'high' as tag_value
+               'pii' as tag_name, concat('high_', cast(c_custkey % 3 as string)) as tag_value
         from {ORDER_CUSTOMER} join {{nation}} on c_nationkey = n_nationkey
         where o_orderpriority like '1%' and c_custkey % 10 = 0""",
     "fx_catalog_privileges": f"""
