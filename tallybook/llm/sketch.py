@@ -157,11 +157,13 @@ def build(
     depth: int = DEPTH,
     heavy_from: int | None = None,
     least: int = 2,
+    most_heavy: int | None = None,
 ) -> Sketch:
     """The sketch of all hashes that ``hashes`` gives for the batches of ``docs``.
 
     ``heavy_from`` is the count from which a cell of the first row counts as heavy; by default so
-    high that there are at most about ``HEAVY_CELLS`` of them. With ``least`` 1 the bits say which
+    high that there are at most about ``HEAVY_CELLS`` of them; ``most_heavy`` bounds them by block
+    instead, the most frequent staying, for callers who only order by them. With ``least`` 1 the bits say which
     hashes were met at all.
     """
     width = width_for(expected)
@@ -181,6 +183,8 @@ def build(
         def done() -> pa.RecordBatch:
             bits = np.packbits(cells >= least, bitorder="little")
             heavy = np.flatnonzero(cells >= heavy_from) if current < blocks else np.zeros(0, np.int64)
+            if most_heavy is not None and len(heavy) > most_heavy:
+                heavy = np.sort(heavy[np.argsort(-cells[heavy].astype(np.int64), kind="stable")[:most_heavy]])
             whole = heavy + ((current % blocks) << BLOCK_BITS)
             row = [
                 pa.array([current], pa.int32()),
