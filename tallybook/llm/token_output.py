@@ -2,7 +2,9 @@
 
 Every shard (a run of documents in ascending ``doc_id`` order, at most ``SHARD_TOKENS`` ids unless
 one document has more) is packed by Re-Pair: the most frequent pairs of neighbours become new
-symbols, round after round, until no pair is worth a rule. A pair never reaches over the end of a
+symbols, round after round, until no pair saves more than its rule costs, however many rounds and
+rules that takes. A round takes all pairs at least half as frequent as the most frequent one; a
+rule that others leave too few places waits for a later round. A pair never reaches over the end of a
 document, so each document is a run of symbols of its own. A shard holds the rules, the length
 that each rule expands to, the place of every document among symbols and among ids, and the
 symbols; so one document, or a range of its ids, is decoded without the rest.
@@ -14,6 +16,7 @@ committer makes repeated tasks safe, and any store that Spark writes to will do.
 from __future__ import annotations
 
 import functools
+import itertools
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -25,14 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.parts import PartIds
-from tallybook.llm.words import LOWER, Words, pieces
+from tallybook.llm.words import LOWER, Words, mixed, pieces
 
 SHARD_TOKENS = 4_000_000
-ROUNDS = 3
-RULES_PER_ROUND = 2_048
-LEAST_SAVED = 64
-"""A pair must stand this often in a shard to be worth a rule."""
-MAGIC = b"RPG1"
+LEAST_SAVED = 4
+"""A pair must be replaced this often to save more than its rule: two symbols and a length."""
+MAGIC = b"RPG2"
 END_ID = 2
 
 _HEAD = struct.Struct("<4sIIIII")
@@ -47,21 +48,21 @@ def _pair_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def compress(
     ids: np.ndarray,
     starts: np.ndarray,
-    rounds: int = ROUNDS,
-    per_round: int = RULES_PER_ROUND,
+    rounds: int | None = None,
+    per_round: int | None = None,
     least: int = LEAST_SAVED,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Symbols, where each document starts among them, rules (n x 2), and the first rule's symbol.
 
-    Each round counts all pairs of neighbours, makes rules of the most frequent (ties by the pair
-    itself) and replaces them from left to right without overlap.
+    Each round counts all pairs of neighbours, makes rules of the most frequent (ties by their hash) and replaces them, the more frequent where two overlap; it ends when no pair can be
+    replaced ``least`` times.
     """
     symbols = ids.astype(np.uint32)
     starts = starts.astype(np.int64)
     base = int(symbols.max()) + 1 if len(symbols) else 0
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         if len(symbols) < 2:
             break
         keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
@@ -69,26 +70,15 @@ def compress(
         inner = starts[(starts > 0) & (starts < len(symbols))]
         valid[inner - 1] = False
         pairs, counts = _pair_counts(keys[valid])
+        doubled = _doubles(symbols, valid)
+        counts[np.searchsorted(pairs, doubled[0])] = doubled[1]
         worth = np.flatnonzero(counts >= least)
         if not len(worth):
             break
-        best = worth[np.lexsort((pairs[worth], -counts[worth]))][:per_round]
-        chosen = np.sort(pairs[best])
-        lefts = np.zeros(base + made, dtype=bool)
-        rights = np.zeros(base + made, dtype=bool)
-        lefts[chosen >> np.uint64(32)] = True
-        rights[chosen & np.uint64(0xFFFFFFFF)] = True
-        maybe = np.flatnonzero(valid & lefts[symbols[:-1]] & rights[symbols[1:]])
-        found = np.searchsorted(chosen, keys[maybe])
-        found[found == len(chosen)] = 0
-        hit = chosen[found] == keys[maybe]
-        at, rule = maybe[hit], found[hit]
-        if not len(at):
-            break
-        fresh = np.concatenate([[True], np.diff(at) > 1])
-        run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        take = (np.arange(len(at)) - run_start) % 2 == 0
-        at, rule = at[take], rule[take]
+        tie = mixed(pairs[worth])
+        worth = worth[np.lexsort((tie, -counts[worth]))]
+        half = int(np.searchsorted(-counts[worth], -(counts[worth[0]] // 2), side="right"))
+        at, rule, chosen = _places(symbols, keys, valid, pairs[worth[:half][:per_round]], base + made, least)
         symbols[at] = base + made + rule
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
@@ -103,6 +93,58 @@ def compress(
     return symbols, starts, table, base
 
 
+def _doubles(symbols: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a symbol and itself, and how often each can be replaced: they overlap."""
+    at = np.flatnonzero(valid & (symbols[:-1] == symbols[1:]))
+    keys = symbols[at].astype(np.uint64) * np.uint64((1 << 32) + 1)
+    take = _every_other(at)
+    found, counts = _pair_counts(keys[take])
+    return found, counts
+
+
+def _every_other(at: np.ndarray) -> np.ndarray:
+    """Of ascending places, the first, third, ... of each run of neighbours."""
+    fresh = np.concatenate([[True], np.diff(at) > 1])[: len(at)]
+    run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+    return (np.arange(len(at)) - run_start) % 2 == 0
+
+
+def _places(
+    symbols: np.ndarray, keys: np.ndarray, valid: np.ndarray, pairs: np.ndarray, size: int, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where pairs are replaced, by which of those that are replaced ``least`` times, and these.
+
+    Where pairs overlap the one that stands first in ``pairs`` goes, so copies of a passage are
+    replaced alike, and the first of all is replaced wherever it can be.
+    """
+    order = np.argsort(pairs)
+    chosen = pairs[order]
+    lefts = np.zeros(size, dtype=bool)
+    rights = np.zeros(size, dtype=bool)
+    lefts[chosen >> np.uint64(32)] = True
+    rights[chosen & np.uint64(0xFFFFFFFF)] = True
+    maybe = np.flatnonzero(valid & lefts[symbols[:-1]] & rights[symbols[1:]])
+    found = np.searchsorted(chosen, keys[maybe])
+    found[found == len(chosen)] = 0
+    hit = chosen[found] == keys[maybe]
+    at, rule = maybe[hit], found[hit]
+    twin = np.flatnonzero(symbols[at] == symbols[at + 1])
+    stays = np.ones(len(at), dtype=bool)
+    stays[twin[~_every_other(at[twin])]] = False
+    at, rule = at[stays], rule[stays]
+    rank = order[rule]
+    near = np.flatnonzero(np.diff(at) == 1)
+    first = rank[near] < rank[near + 1]
+    take = np.ones(len(at), dtype=bool)
+    take[near[~first]] = False
+    take[near[first] + 1] = False
+    at, rule = at[take], rule[take]
+    enough = np.bincount(rule, minlength=len(chosen)) >= least
+    number = np.cumsum(enough) - 1
+    take = enough[rule]
+    return at[take], number[rule[take]], chosen[enough]
+
+
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """How many ids each rule stands for; a rule only names ids and rules before it."""
     lengths = np.ones(len(rules), np.int64)
@@ -131,20 +173,43 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return symbols
 
 
+_AT_ONCE = 1 << 16
+
+
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    """Values of ``width`` bits end to end."""
+    out = []
+    for part in np.split(values.astype("<u4").ravel(), range(_AT_ONCE, values.size, _AT_ONCE)):
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+        out.append(np.packbits(bits[:, :width], bitorder="little").tobytes())
+    return b"".join(out)
+
+
+def _widen(data: np.ndarray, n: int, width: int) -> np.ndarray:
+    found = np.empty(n, np.uint32)
+    for at in range(0, n, _AT_ONCE):
+        size = min(_AT_ONCE, n - at)
+        bits = np.zeros((size, 32), np.uint8)
+        own = data[at * width // 8 :][: -(-size * width // 8)]
+        bits[:, :width] = np.unpackbits(own, bitorder="little", count=size * width).reshape(size, width)
+        found[at : at + size] = np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
+    return found
+
+
 def pack(doc_ids: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> bytes:
     """One shard as bytes. ``starts`` has one entry per document and one for the end."""
     symbols, places, rules, base = compress(ids, starts)
-    wide = base + len(rules) > 0xFFFF
-    head = _HEAD.pack(MAGIC, len(doc_ids), len(ids), len(symbols), len(rules), base | (wide << 31))
+    width = (base + len(rules)).bit_length()
+    head = _HEAD.pack(MAGIC, len(doc_ids), len(ids), len(symbols), len(rules), base)
     body = b"".join(
         (
             head,
             doc_ids.astype("<i8").tobytes(),
             starts.astype("<u4").tobytes(),
             places.astype("<u4").tobytes(),
-            rules.astype("<u4").tobytes(),
+            _narrow(rules, width),
             expansion_lengths(rules, base).astype("<u4").tobytes(),
-            symbols.astype("<u4" if wide else "<u2").tobytes(),
+            _narrow(symbols, width),
         )
     )
     return body + struct.pack("<I", zlib.crc32(body))
@@ -158,7 +223,8 @@ class Shard:
         if body[:4] != MAGIC or zlib.crc32(body) != crc:
             raise ValueError("not a whole shard")
         _, docs, self.n_tokens, n_symbols, n_rules, base = _HEAD.unpack_from(body)
-        self.base = base & 0x7FFFFFFF
+        self.base = base
+        width = (base + n_rules).bit_length()
         at = _HEAD.size
 
         def take(kind: str, n: int) -> np.ndarray:
@@ -167,12 +233,15 @@ class Shard:
             at += found.nbytes
             return found
 
+        def wider(n: int) -> np.ndarray:
+            return _widen(take("u1", -(-n * width // 8)), n, width)
+
         self.doc_ids = take("<i8", docs)
         self.starts = take("<u4", docs + 1).astype(np.int64)
         self.places = take("<u4", docs + 1).astype(np.int64)
-        self.rules = take("<u4", 2 * n_rules).reshape(-1, 2)
+        self.rules = wider(2 * n_rules).reshape(-1, 2)
         self.lengths = take("<u4", n_rules).astype(np.int64)
-        self.symbols = take("<u4" if base >> 31 else "<u2", n_symbols).astype(np.uint32)
+        self.symbols = wider(n_symbols)
 
     def all(self) -> np.ndarray:
         return expand(self.symbols, self.rules, self.base)

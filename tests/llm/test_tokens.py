@@ -172,3 +172,14 @@ def test_registered_shards(spark, small):
 
 def test_empty_table(spark, none, tmp_path):
     assert token_output.read_shards(shards_of(spark, none, tmp_path)).count() == 0
+
+
+def test_grammar_folds_until_no_pair_is_worth_a_rule():
+    """Copies of a passage become a few symbols, and no number of pairs is too many."""
+    passage = np.random.default_rng(3).permutation(20_000).astype(np.uint32)
+    ids = np.tile(passage, 8)
+    symbols, _, rules, base = token_output.compress(ids, np.array([0, len(ids)]))
+    assert token_output.expand(symbols, rules, base).tolist() == ids.tolist()
+    assert len(symbols) < 40 and len(rules) > 6_144
+    pairs = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)[1]
+    assert pairs.max() < 2 * token_output.LEAST_SAVED
