@@ -18,6 +18,7 @@ from tallybook.llm import (
     quality_rules,
     sentencepiece_codec,
     substring_dedup,
+    suffix_dedup,
     token_output,
     toxicity,
 )
@@ -91,6 +92,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_output": op8_token_output,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -149,4 +155,5 @@ ORACLES: dict[str, str] = {
     "op2_jaccard_join": _JACCARD,
     "op7_substring_dedup": _DEDUP,
     "op9_decontamination": decontamination.oracle(),
+    "op11_suffix_dedup": suffix_dedup.oracle(),
 }
