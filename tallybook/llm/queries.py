@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import (
+    collocations,
     decontamination,
     jaccard_join,
     language_id,
@@ -96,6 +97,10 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.best(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_collocations": op12_collocations,
 }
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -156,4 +162,5 @@ ORACLES: dict[str, str] = {
     "op7_substring_dedup": _DEDUP,
     "op9_decontamination": decontamination.oracle(),
     "op11_suffix_dedup": suffix_dedup.oracle(),
+    "op12_collocations": collocations.oracle(),
 }
