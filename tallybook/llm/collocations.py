@@ -7,6 +7,7 @@ pieces, spaces and tabs part words; a phrase lies in one piece. Everything is pe
    triples whose two pairs may be frequent, say which phrases may have ``least`` occurrences. A sketch
    never counts too little and a phrase is never more frequent than its parts, so the candidates
    miss none (Apriori).
+   Each is found out by its hash alone, together with one document that holds it, which then gives its words.
 2. Candidates are put in a double-array trie over the two digits of words' numbers: a state ``s`` has a
    child for digit ``c`` at slot ``base[s] + c`` if ``owner`` of that slot is ``s``. The trie is broadcast.
    Its size has a bound (``MOST_PHRASES``); where there are more candidates, it holds those with the highest estimates, and
@@ -44,6 +45,8 @@ MOST_PHRASES = 1_500_000
 HELD = 1_000_000
 """Different words or phrases that a task holds before it sends them."""
 BLOCK_STATES = 1 << 16
+BLOCK_BYTES = 32 << 20
+"""Text for each block of candidates, about."""
 SALTS = 64
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -58,7 +61,8 @@ class Phrases:
 
     def __init__(self, batch: pa.RecordBatch):
         raw, at = text_bytes(batch.column("text"))
-        self.raw = LOWER[raw]
+        self.raw, self.at = LOWER[raw], at
+        self.tag = (batch.column("tag").to_numpy().view(np.uint64) >> np.uint64(32)).astype(np.uint32)
         langs = batch.column("lang").dictionary_encode()
         self.langs = langs.dictionary.to_pylist()
         lang_raw, lang_at = text_bytes(langs.dictionary)
@@ -87,6 +91,10 @@ class Phrases:
         parts = [span_bytes(self.raw, self.starts[first + k], self.ends[first + k]) for k in range(words)]
         return [b" ".join(x).decode("utf-8") for x in zip(*parts, strict=True)]
 
+    def tags(self, first: np.ndarray) -> np.ndarray:
+        """The tags of the documents of some words."""
+        return self.tag[np.searchsorted(self.at, self.starts[first], side="right") - 1]
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """First words of all pairs of neighbours, and a hash of each."""
         first = np.flatnonzero(self.joined)
@@ -196,39 +204,109 @@ def _filter(rows: DataFrame, total: int, least: int) -> Filter:
     return Filter(met, more)
 
 
-_PHRASE = "lang string, words int, phrase string, hash long, part1 long, part2 long, part3 long, level int"
+def candidates(rows: DataFrame, filtered, blocks: int) -> DataFrame:
+    """One row per phrase that may be frequent: ``hash, words, level, tag``; the level is log2 of about how often
+    it stands, the tag that of one document with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.zeros(0, np.uint64), np.zeros(0, np.uint32))] * 2
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for words, (hashes, tags) in enumerate(held, start=2):
+                block = hashes % np.uint64(blocks)
+                order = np.argsort(block, kind="stable")
+                edges = np.searchsorted(block[order], np.arange(blocks + 1))
+                for b in np.flatnonzero(np.diff(edges)).tolist():
+                    own = order[edges[b] : edges[b + 1]]
+                    body = np.diff(hashes[own], prepend=np.uint64(0)).tobytes() + tags[own].tobytes()
+                    columns = [pa.array([x], pa.int32()) for x in (b, words, len(own))]
+                    columns.append(pa.array([pa.compress(body, codec="zstd", asbytes=True)], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, ["block", "words", "n", "body"])
+
+        for found in _batches(batches):
+            for words, first, hashes, _ in filtered.value.phrases(found):
+                known, tags = held[words - 2]
+                held[words - 2] = _least_tags(np.concatenate([known, hashes]), np.concatenate([tags, found.tags(first)]))
+            if max(len(h) for h, _ in held) >= HELD:
+                yield from out()
+                held = [(h[:0], t[:0]) for h, t in held]
+        yield from out()
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = (-1, -1), []
+
+        def out() -> pa.RecordBatch:
+            hashes, tags = _least_tags(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            level = filtered.value.sketches[current[1] - 2].level(hashes).astype(np.int32)
+            columns = [hashes.view(np.int64), np.full(len(hashes), current[1], np.int32), level, tags.astype(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["hash", "words", "level", "tag"])
+
+        for batch in batches:
+            for block, words, n, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (block, words) != current:
+                    if held:
+                        yield out()
+                    current, held = (block, words), []
+                data = pa.decompress(body, 12 * n, codec="zstd", asbytes=True)
+                held.append((np.cumsum(np.frombuffer(data, "<u8", n)), np.frombuffer(data, "<u4", n, 8 * n)))
+        if held:
+            yield out()
+
+    found = rows.mapInArrow(run, "block int, words int, n int, body binary")
+    dealt = found.repartition("block", "words").sortWithinPartitions("block", "words")
+    return dealt.mapInArrow(distinct, "hash long, words int, level int, tag long")
+
+
+def _least_tags(hashes: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and the least tag of each."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, tags = hashes[order], tags[order]
+    edge = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+    return hashes[edge], np.minimum.reduceat(tags, edge) if len(edge) else tags
+
+
+_PHRASE = "lang string, words int, phrase string, hash long, part1 long, part2 long, part3 long, a long"
+_NAMES = [x.split()[0] for x in _PHRASE.split(", ")]
 
 
-def candidates(rows: DataFrame, filtered) -> DataFrame:
-    """One row per phrase that may be frequent: its words' hashes, and how frequent about (log2)."""
+def _described(found: Phrases, first: np.ndarray, words: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``_PHRASE`` for the phrases that start at some words."""
+    parts = [found.hashes[first + k].view(np.int64) for k in range(words)]
+    parts += [np.zeros(len(first), np.int64)] * (LONGEST - words)
+    columns = [
+        pa.array([found.langs[i] for i in found.lang[first].tolist()], pa.string()),
+        pa.array(np.full(len(first), words, np.int32)),
+        pa.array(found.spans(first, words), pa.string()),
+        pa.array(hashes.view(np.int64)),
+        *map(pa.array, parts),
+        pa.array(counts),
+    ]
+    return pa.RecordBatch.from_arrays(columns, _NAMES)
+
+
+def described(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The words of the chosen phrases (a bounded number), each from documents of its tag."""
+    table = chosen.select("hash", "words", "tag").toArrow()
+    hashes, words = table.column("hash").to_numpy().view(np.uint64), table.column("words").to_numpy()
+    order = np.lexsort((hashes, words))
+    parts = np.split(order, [int((words == 2).sum())])
+    tags = table.column("tag").to_numpy()
+    sent = rows.sparkSession.sparkContext.broadcast([(hashes[x], tags[x].astype(np.uint32)) for x in parts])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.zeros(0, np.uint64)
         for found in _batches(batches):
-            for words, first, hashes, level in filtered.value.phrases(found):
-                new, at = np.unique(hashes, return_index=True)
-                missing = _places(known, new)[1]
-                new, at = new[missing], at[missing]
-                if not len(new):
-                    continue
-                known = _merged(known, new)[0]
-                where = first[at]
-                parts = [found.hashes[where + k].view(np.int64) for k in range(words)]
-                parts += [np.zeros(len(at), np.int64)] * (LONGEST - words)
-                columns = [
-                    pa.array([found.langs[i] for i in found.lang[where].tolist()], pa.string()),
-                    pa.array(np.full(len(at), words, np.int32)),
-                    pa.array(found.spans(where, words), pa.string()),
-                    pa.array(new.view(np.int64)),
-                    *map(pa.array, parts),
-                    pa.array(level[at].astype(np.int32)),
-                ]
-                names = ["lang", "words", "phrase", "hash", "part1", "part2", "part3", "level"]
-                yield pa.RecordBatch.from_arrays(columns, names)
-            if len(known) >= HELD:
-                known = known[:0]
-
-    return rows.mapInArrow(run, _PHRASE).dropDuplicates(["hash", "words"])
+            first, hashes = found.pairs()
+            for words, (known, tags) in enumerate(sent.value, start=2):
+                if words == 3:
+                    first, hashes = found.triples(first)
+                at, missing = _places(known, hashes)
+                there = np.flatnonzero(~missing)
+                there = there[tags[at[there]] == found.tags(first[there])]
+                distinct, one = np.unique(hashes[there], return_index=True)
+                if len(distinct):
+                    yield _described(found, first[there[one]], words, distinct, np.zeros(len(one), np.int64))
+
+    return rows.mapInArrow(run, _PHRASE).drop("a").dropDuplicates(["hash", "words"])
 
 
 class Trie:
@@ -343,10 +421,10 @@ def _chosen(phrases: DataFrame, most: int) -> DataFrame:
     return phrases
 
 
-def phrase_counts(rows: DataFrame, phrases: DataFrame, filtered, most: int) -> DataFrame:
-    """``hash, words, a``: occurrences of all candidates, by a trie of at most about ``most`` of them."""
+def phrase_counts(rows: DataFrame, phrases: DataFrame, filtered) -> DataFrame:
+    """``_PHRASE``: occurrences of all candidates; those of ``phrases`` (described, bounded) by a trie."""
     spark = rows.sparkSession
-    chosen = _chosen(phrases, most).select("words", "hash", "part1", "part2", "part3").toArrow()
+    chosen = phrases.select("words", "hash", "part1", "part2", "part3").toArrow()
     hashes, words = chosen.column("hash").to_numpy().view(np.uint64), chosen.column("words").to_numpy()
     order = np.lexsort((hashes, words))
     hashes, n_pairs = hashes[order], int((words == 2).sum())
@@ -370,14 +448,15 @@ def phrase_counts(rows: DataFrame, phrases: DataFrame, filtered, most: int) -> D
                     following = np.concatenate([numbers[words - 1 :], np.full(words, -1)])[: len(numbers)]
                     state = trie.step(np.where(goes_on, state, -1), following)
                     counts += np.bincount(state[state >= 0], minlength=len(counts))
-            for words, _, hashes, _ in filtered.value.phrases(found):
-                hashes = hashes[_places(own[words], hashes)[1]]
-                if len(hashes):
-                    yield _partial(words, *np.unique(hashes, return_counts=True))
+            for words, first, hashes, _ in filtered.value.phrases(found):
+                rest = np.flatnonzero(_places(own[words], hashes)[1])
+                other, one, n = np.unique(hashes[rest], return_index=True, return_counts=True)
+                if len(other):
+                    yield _counted_row(_described(found, first[rest[one]], words, other, n))
         for block in range(blocks):
             part = counts[block * BLOCK_STATES : (block + 1) * BLOCK_STATES]
             if part.any():
-                yield _block(block, part)
+                yield _counted_block(block, part)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, known, n_pairs = sent.value
@@ -403,26 +482,26 @@ def phrase_counts(rows: DataFrame, phrases: DataFrame, filtered, most: int) -> D
         if current >= 0:
             yield out()
 
-    sums, _ = materialise(rows.mapInArrow(run, "block int, body binary, words int, hash long, a long"), "phrase-counts")
-    rest = sums.filter("block IS NULL").groupBy("hash", "words").agg(F.sum("a").alias("a"))
+    sums, _ = materialise(rows.mapInArrow(run, f"block int, body binary, {_PHRASE}"), "phrase-counts")
+    rest = sums.filter("block IS NULL").groupBy(*_NAMES[:-1]).agg(F.sum("a").alias("a"))
     if trie is None:
         return rest
     dealt = sums.filter("block IS NOT NULL").select("block", "body").repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(total, "hash long, words int, a long").unionByName(rest)
+    by_trie = dealt.mapInArrow(total, "hash long, words int, a long")
+    return phrases.join(by_trie, ["hash", "words"]).select(*_NAMES).unionByName(rest)
 
 
-def _partial(words: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    n = len(hashes)
-    columns = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(np.full(n, words, np.int32))]
-    columns += [pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, ["block", "body", "words", "hash", "a"])
+def _counted_row(phrases: pa.RecordBatch) -> pa.RecordBatch:
+    n = phrases.num_rows
+    columns = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *phrases.columns]
+    return pa.RecordBatch.from_arrays(columns, ["block", "body", *_NAMES])
 
 
-def _block(block: int, counts: np.ndarray) -> pa.RecordBatch:
+def _counted_block(block: int, counts: np.ndarray) -> pa.RecordBatch:
     body = pa.compress(counts.astype("<i8").tobytes(), codec="zstd", asbytes=True)
-    columns = [pa.array([block], pa.int32()), pa.array([body], pa.binary()), pa.nulls(1, pa.int32())]
-    columns += [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["block", "body", "words", "hash", "a"])
+    kinds = [pa.string(), pa.int32(), pa.string(), *[pa.int64()] * 5]
+    columns = [pa.array([block], pa.int32()), pa.array([body], pa.binary()), *(pa.nulls(1, k) for k in kinds)]
+    return pa.RecordBatch.from_arrays(columns, ["block", "body", *_NAMES])
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -448,18 +527,19 @@ def best(docs: DataFrame, least: int = LEAST, most_in_trie: int = MOST_PHRASES,
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
+    return docs.select("text", lang.alias("lang"), F.xxhash64("text").alias("tag"))
 
 
 def scored(rows: DataFrame, words: DataFrame, least: int = LEAST, most_in_trie: int = MOST_PHRASES) -> DataFrame:
-    """All candidates of ``rows`` (``lang, text``) that no longer one covers, with their cut: ``lang, phrase, a,
+    """All candidates of ``rows`` (``text, lang, tag``) that no longer one covers, with their cut: ``lang, phrase, a,
     l, r, score``. ``words`` are the ``word_counts`` of the same rows."""
     spark = rows.sparkSession
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     filtered = spark.sparkContext.broadcast(_filter(rows, total, least))
-    phrases, _ = materialise(candidates(rows, filtered), "candidates")
-    counts = phrase_counts(rows, phrases, filtered, most_in_trie)
-    frequent = phrases.drop("level").join(counts.filter(F.col("a") >= least), ["hash", "words"])
+    found, _ = materialise(candidates(rows, filtered, max(64, total // BLOCK_BYTES)), "candidates")
+    phrases, _ = materialise(described(rows, _chosen(found, most_in_trie)), "described")
+    frequent = phrase_counts(rows, phrases, filtered).filter(F.col("a") >= least)
     frequent, _ = materialise(frequent, "phrases")
 
     pairs = frequent.filter("words = 2").select("lang", "phrase", "a", "part1", "part2")
