@@ -20,6 +20,7 @@ from tallybook.llm import (
     sentencepiece_codec,
     substring_dedup,
     suffix_dedup,
+    token_alignment,
     token_output,
     toxicity,
 )
@@ -101,6 +102,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.best(_table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_alignment.digest(_table(spark, sf_dir, "documents"), path, piece_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_suffix_dedup": op11_suffix_dedup,
     "op12_collocations": op12_collocations,
+    "op13_token_alignment": op13_token_alignment,
 }
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

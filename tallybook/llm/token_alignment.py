@@ -38,7 +38,6 @@ MOST_PAIRS = 2_000_000
 MOST_WINDOWS = 200_000
 """Different windows that a task remembers; beyond it sends what it has counted and starts anew."""
 BLOCKS = 256
-SPACE = 0x20
 
 
 def _byte_marks() -> dict[str, int]:
@@ -143,7 +142,7 @@ class Aligned:
         """64 bits of each window's ids."""
         sums = []
         for ids, last, seed in ((self.a, self.last_a, 1), (self.b, self.last_b, 2)):
-            first = np.concatenate([[0], last[:-1] + 1])
+            first = _after(last)
             place = np.arange(len(ids)) - np.repeat(first, last - first + 1)
             h = mixed(ids.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32)) + np.uint64(seed << 60))
             sums.append(np.add.reduceat(h, first) if len(first) else h)
@@ -151,9 +150,8 @@ class Aligned:
 
     def spans(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First and last token (not included) of A and of B of some windows."""
-        first_a = np.concatenate([[0], self.last_a[:-1] + 1])[which]
-        first_b = np.concatenate([[0], self.last_b[:-1] + 1])[which]
-        return first_a, self.last_a[which] + 1, first_b, self.last_b[which] + 1
+        first_a, first_b = _after(self.last_a), _after(self.last_b)
+        return first_a[which], self.last_a[which] + 1, first_b[which], self.last_b[which] + 1
 
     def keys(self, which: np.ndarray) -> list[bytes]:
         """The ids of some windows as bytes: those of A, a mark, those of B."""
@@ -176,6 +174,11 @@ class Aligned:
         return window[again], token[again], other, closes
 
 
+def _after(last: np.ndarray) -> np.ndarray:
+    """Where windows begin that end with the given tokens."""
+    return np.concatenate([[0], last + 1])[:-1]
+
+
 def _only(ids: np.ndarray, at: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(at) * ok
     return ids[ranges(at[:-1], lengths)], np.concatenate([[0], np.cumsum(lengths)])
@@ -203,7 +206,7 @@ class Memo:
         self.n_links.append(np.bincount(window, minlength=len(which)))
         self.groups += np.bincount(window[closes], minlength=len(which)).tolist()
         new_a = np.concatenate([[True], a[1:] != a[:-1]])[: len(a)]
-        new_b = np.concatenate([[True], b[1:] > np.maximum.accumulate(b)[:-1]])[: len(b)]
+        new_b = np.concatenate([[True], b[1:] != b[:-1]])[: len(b)]
         rows = zip(window.tolist(), ids_a.tolist(), ids_b.tolist(), new_a.tolist(), new_b.tolist(), closes.tolist(), strict=True)
         texts: list[list[str]] = [[] for _ in which]
         left: list[str] = []
@@ -359,13 +362,13 @@ def _frequent(counts: DataFrame, n: int, most: int) -> DataFrame:
     """The pairs that go in the broadcast table: all, or those over the count that leaves at most ``most``."""
     if n <= most:
         return counts
-    sizes = counts.groupBy(F.floor(F.log2("count")).cast("int").alias("size")).agg(F.count(F.lit(1)).alias("n"))
-    room, least = most, 63
+    sizes = counts.groupBy((F.length(F.bin("count")) - 1).alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    room, least = most, 62
     for size, n in sorted(map(tuple, sizes.collect()), reverse=True):
         if n > room:
             break
         room, least = room - n, size
-    return counts.filter(F.col("count") >= F.lit(2).cast("decimal(20,0)") * 0 + (1 << least))
+    return counts.filter(F.col("count") >= (1 << least))
 
 
 _DIGEST = (
