@@ -1,7 +1,9 @@
 """Alignment of two tokenizers' ids over the same texts.
 
-Both tokenizers take the whole text (with the space in front that B adds by itself); the bytes of either's
-tokens must join to it, else the document counts as without tokens.
+Both tokenizers give the ids of the whole text (with the space in front that B adds by itself). Neither has
+tokens that go on over a space after a visible ASCII character, nor looks back there, so texts are cut there
+and each distinct part is encoded once. The bytes of either's tokens must join to the text, else the
+document counts as without tokens.
 
 1. Anchors: where tokens of A and of B both end, and both next tokens begin with a space, a document is
    cut. What lies between is a window: a few ids of A and of B, mostly a word.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +32,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.parts import ranges
+from tallybook.llm.parts import PartIds, ranges
 from tallybook.llm.words import mixed, pieces, text_bytes
 from tallybook.session import materialise
 
 MOST_PAIRS = 2_000_000
 """Pairs of ids in the broadcast table of counts, 12 bytes each."""
-MOST_WINDOWS = 200_000
+MOST_WINDOWS = 400_000
 """Different windows that a task remembers; beyond it sends what it has counted and starts anew."""
+CACHED = 1_000_000
+"""Distinct parts of texts whose ids a worker remembers, about 45 MB for each tokenizer."""
+AT_ONCE = 20_000
+MARK = "▁"
 BLOCKS = 256
 
 
@@ -67,6 +74,7 @@ class Tokenizers:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         marks = _byte_marks()
@@ -74,25 +82,47 @@ class Tokenizers:
         # an added token's own text is not in byte-level marks; it can't come from plain text
         self.bytes_a = Vocabulary([bytes(marks.get(c, 0) for c in x) for x in entries])
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
-        self.bytes_b = Vocabulary([self._piece(i) for i in range(self.b.get_piece_size())])
-
-    def _piece(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        if self.b.is_byte(i):
-            return bytes([int(piece[3:5], 16)])
-        return piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of all texts end to end and where each text's begin, for A and for B."""
-        rows_a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        rows_b = self.b.encode(texts, num_threads=1) if texts else []
-        return [_flat(rows_a), _flat(rows_b)]
-
-
-def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-    ids = np.concatenate([np.array(x, np.int64) for x in rows]) if rows else np.zeros(0, np.int64)
-    return ids, np.concatenate([[0], np.cumsum(lengths)])
+        pieces_b = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if any(MARK in x.lstrip(MARK) for x in pieces_b):
+            raise ValueError("the model has pieces that reach over spaces")
+        self.bytes_b = Vocabulary([self._piece(i, x) for i, x in enumerate(pieces_b)])
+        self.space_b = self.b.piece_to_id(MARK)
+        self.parts_a, self.parts_b = PartIds(self._encode_a, CACHED), PartIds(self._encode_b, CACHED)
+
+    def _piece(self, i: int, piece: str) -> bytes:
+        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
+
+    def _encode_a(self, parts: list[bytes]) -> list[list[int]]:
+        found: list[list[int]] = []
+        for at in range(0, len(parts), AT_ONCE):
+            texts = [p.decode("utf-8") for p in parts[at : at + AT_ONCE]]
+            found += [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        return found
+
+    def _encode_b(self, parts: list[bytes]) -> list[list[int]]:
+        """B puts the space in front of a part itself, but for an empty one."""
+        found = self.b.encode([p[1:].decode("utf-8") for p in parts], num_threads=1)
+        return [ids if len(p) > 1 else [self.space_b] for ids, p in zip(found, parts, strict=True)]
+
+    def encode(self, body: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of all texts end to end and where each text's begin, for A and for B. Each text begins with a space."""
+        cut = np.zeros(len(body) + 1, dtype=bool)
+        cut[1:-1] = (body[1:] == 0x20) & (body[:-1] > 0x20) & (body[:-1] < 0x7F)
+        cut[starts] = True
+        cuts = np.flatnonzero(cut)
+        found = []
+        for parts in (self.parts_a, self.parts_b):
+            ids, lengths = parts.ids(body, cuts[:-1], cuts[1:])
+            upto = np.concatenate([[0], np.cumsum(lengths)])
+            found.append((ids.astype(np.int64), upto[np.searchsorted(cuts, starts)]))
+        return found
+
+
+def spaced(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, those that aren't empty with a space in front, and where each begins."""
+    raw, at = text_bytes(texts)
+    filled = np.diff(at) > 0
+    return np.insert(raw, at[:-1][filled], 0x20), at + np.concatenate([[0], np.cumsum(filled)])
 
 
 @functools.cache
@@ -105,21 +135,27 @@ def _whole(vocabulary: Vocabulary, ids: np.ndarray, at: np.ndarray, body: np.nda
     ends = np.concatenate([[0], np.cumsum(vocabulary.lengths[ids])])[at]
     same = np.diff(ends) == np.diff(starts)
     joined = vocabulary.joined(ids)
-    row = np.flatnonzero(same)
-    n = np.diff(starts)[row]
-    differs = joined[ranges(ends[:-1][row], n)] != body[ranges(starts[:-1][row], n)]
-    same[row[np.repeat(np.arange(len(row)), n)[differs]]] = False
+    if same.all():
+        row, differs = np.arange(len(same)), joined != body
+    else:
+        row = np.flatnonzero(same)
+        differs = joined[_within(ends, row)] != body[_within(starts, row)]
+    if differs.any():
+        same[row[np.repeat(np.arange(len(row)), np.diff(starts)[row])[differs]]] = False
     return same
 
 
+def _within(edges: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return ranges(edges[rows], edges[rows + 1] - edges[rows])
+
+
 class Aligned:
     """The windows of one batch of texts that both tokenizers give back."""
 
-    def __init__(self, tools: Tokenizers, texts: list[str]):
-        (self.a, at_a), (self.b, at_b) = tools.encode(texts)
-        body, starts = text_bytes(pa.array([" " + t for t in texts], pa.large_string()))
+    def __init__(self, tools: Tokenizers, texts: pa.Array):
+        body, starts = spaced(texts)
+        (self.a, at_a), (self.b, at_b) = tools.encode(body, starts)
         ok = _whole(tools.bytes_a, self.a, at_a, body, starts) & _whole(tools.bytes_b, self.b, at_b, body, starts)
-        self.ok = ok
         if not ok.all():
             self.a, at_a = _only(self.a, at_a, ok)
             self.b, at_b = _only(self.b, at_b, ok)
@@ -127,38 +163,37 @@ class Aligned:
         self.lengths_a, self.lengths_b = tools.bytes_a.lengths[self.a], tools.bytes_b.lengths[self.b]
         self.ends_a, self.ends_b = np.cumsum(self.lengths_a), np.cumsum(self.lengths_b)
         # all texts end to end: a text's end is an end of both, and each text begins with a space
-        shared, in_a, in_b = np.intersect1d(self.ends_a, self.ends_b, assume_unique=True, return_indices=True)
+        ends = np.zeros((2, len(body) + 1), dtype=bool)
+        ends[0, self.ends_a] = ends[1, self.ends_b] = True
+        in_a, in_b = np.flatnonzero(ends[1, self.ends_a]), np.flatnonzero(ends[0, self.ends_b])
         next_a = np.concatenate([tools.bytes_a.spaced[self.a], [True]])[in_a + 1]
         next_b = np.concatenate([tools.bytes_b.spaced[self.b], [True]])[in_b + 1]
         anchor = next_a & next_b
         self.last_a, self.last_b = in_a[anchor], in_b[anchor]
         text_ends = self.ends_a[at_a[1:][self.n_a > 0] - 1] if len(self.a) else np.zeros(0, np.int64)
-        upto = np.searchsorted(shared[anchor], text_ends) + 1
+        upto = np.searchsorted(self.ends_a[self.last_a], text_ends) + 1
         self.windows = np.zeros(len(texts), np.int64)
         self.windows[self.n_a > 0] = np.diff(np.concatenate([[0], upto]))
         """How many windows each text has."""
 
-    def window_hashes(self) -> np.ndarray:
-        """64 bits of each window's ids."""
-        sums = []
-        for ids, last, seed in ((self.a, self.last_a, 1), (self.b, self.last_b, 2)):
-            first = _after(last)
-            place = np.arange(len(ids)) - np.repeat(first, last - first + 1)
-            h = mixed(ids.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(32)) + np.uint64(seed << 60))
-            sums.append(np.add.reduceat(h, first) if len(first) else h)
-        return mixed(sums[0] ^ mixed(sums[1]))
+    def window_hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each window's ids, in two halves."""
+        halves = []
+        for salt in (1, 2):
+            sums = []
+            for side, ids, last in ((0, self.a, self.last_a), (4, self.b, self.last_b)):
+                first = _after(last)
+                place = np.arange(len(ids)) - np.repeat(first, last - first + 1)
+                h = mixed((ids | (place << 20)).astype(np.uint64) + np.uint64((salt + side) << 60))
+                sums.append(np.add.reduceat(h, first) if len(first) else h)
+            halves.append(mixed(sums[0] ^ mixed(sums[1])))
+        return halves[0], halves[1]
 
     def spans(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First and last token (not included) of A and of B of some windows."""
         first_a, first_b = _after(self.last_a), _after(self.last_b)
         return first_a[which], self.last_a[which] + 1, first_b[which], self.last_b[which] + 1
 
-    def keys(self, which: np.ndarray) -> list[bytes]:
-        """The ids of some windows as bytes: those of A, a mark, those of B."""
-        a, b = self.a.astype("<u4").tobytes(), self.b.astype("<u4").tobytes()
-        ends = zip(*(x.tolist() for x in self.spans(which)), strict=True)
-        return [a[4 * p : 4 * q] + b"\xff\xff\xff\xff" + b[4 * r : 4 * s] for p, q, r, s in ends]
-
     def links(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of all links of some windows in order: number of the window among them, A's token, B's, and whether
         a group ends with it."""
@@ -184,50 +219,78 @@ def _only(ids: np.ndarray, at: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray,
     return ids[ranges(at[:-1], lengths)], np.concatenate([[0], np.cumsum(lengths)])
 
 
+_DIGITS = [str(i) + "," for i in range(1 << 16)]
+_DIGIT_LENGTHS = np.fromiter(map(len, _DIGITS), np.int64, len(_DIGITS))
+_DIGIT_STARTS = np.cumsum(_DIGIT_LENGTHS) - _DIGIT_LENGTHS
+_DIGIT_BYTES = np.frombuffer("".join(_DIGITS).encode(), np.uint8)
+
+
+def _written(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in decimal, each followed by its byte of ``ends``, and the length of each."""
+    if len(ids) and int(ids.max()) >= len(_DIGITS):
+        raise ValueError("ids must be under 65,536")
+    lengths = _DIGIT_LENGTHS[ids]
+    body = _DIGIT_BYTES[ranges(_DIGIT_STARTS[ids], lengths)]
+    body[np.cumsum(lengths) - 1] = ends
+    return body, lengths
+
+
 class Memo:
-    """Alignments of the windows met so far, by their ids, and how often each was met."""
+    """Alignments of the windows met so far, by (128 bits of) their ids, and how often each was met."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
-        self.texts: list[bytes] = []
-        self.groups: list[int] = []
-        self.pairs = [np.zeros(0, np.uint64)]
-        self.n_links = [np.zeros(0, np.int64)]
-        self.counts = np.zeros(0, np.int64)
+        self.hashes, self.checks = np.zeros((2, 0), np.uint64)
+        self.numbers = np.zeros(0, np.int64)
+        self.body, self.pairs = np.zeros(0, np.uint8), np.zeros(0, np.uint64)
+        self.lengths, self.groups, self.n_links, self.counts = np.zeros((4, 0), np.int64)
 
     def __len__(self) -> int:
-        return len(self.texts)
-
-    def learn(self, batch: Aligned, which: np.ndarray, keys: list[bytes]) -> None:
-        """Aligns the windows ``which``, all new."""
+        return len(self.counts)
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The number of each window; -1 for new ones."""
+        at = np.searchsorted(self.hashes, hashes)
+        found = np.full(len(hashes), -1, np.int64)
+        inside = np.flatnonzero(at < len(self.hashes))
+        same = (self.hashes[at[inside]] == hashes[inside]) & (self.checks[at[inside]] == checks[inside])
+        found[inside[same]] = self.numbers[at[inside[same]]]
+        return found
+
+    def learn(self, batch: Aligned, which: np.ndarray, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Aligns the windows ``which``, all new, whose hashes ascend; their numbers."""
         window, a, b, closes = batch.links(which)
-        ids_a, ids_b = batch.a[a], batch.b[b]
-        self.pairs.append((ids_a.astype(np.uint64) << np.uint64(32)) | ids_b.astype(np.uint64))
-        self.n_links.append(np.bincount(window, minlength=len(which)))
-        self.groups += np.bincount(window[closes], minlength=len(which)).tolist()
-        new_a = np.concatenate([[True], a[1:] != a[:-1]])[: len(a)]
-        new_b = np.concatenate([[True], b[1:] != b[:-1]])[: len(b)]
-        rows = zip(window.tolist(), ids_a.tolist(), ids_b.tolist(), new_a.tolist(), new_b.tolist(), closes.tolist(), strict=True)
-        texts: list[list[str]] = [[] for _ in which]
-        left: list[str] = []
-        right: list[str] = []
-        for w, id_a, id_b, fresh_a, fresh_b, closed in rows:
-            if fresh_a:
-                left.append(str(id_a))
-            if fresh_b:
-                right.append(str(id_b))
-            if closed:
-                texts[w].append(",".join(left) + "|" + ",".join(right))
-                left, right = [], []
-        for key, groups in zip(keys, texts, strict=True):
-            self.numbers[key] = len(self.texts)
-            self.texts.append(";".join(groups).encode())
-        self.counts = np.concatenate([self.counts, np.zeros(len(keys), np.int64)])
-
-    def flat(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of ids of all links, and where each window's begin."""
-        self.pairs, self.n_links = [np.concatenate(self.pairs)], [np.concatenate(self.n_links)]
-        return self.pairs[0], np.concatenate([[0], np.cumsum(self.n_links[0])])
+        pairs = (batch.a[a].astype(np.uint64) << np.uint64(32)) | batch.b[b].astype(np.uint64)
+        last = np.flatnonzero(closes)
+        first = np.concatenate([[0], last + 1])[:-1]
+        n_a, n_b = a[last] + 1 - a[first], b[last] + 1 - b[first]
+        end = np.cumsum(n_a + n_b)
+        place_a, place_b = ranges(end - n_a - n_b, n_a), ranges(end - n_b, n_b)
+        ids = np.zeros(len(place_a) + len(place_b), np.int64)
+        ends = np.full(len(ids), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = batch.a[ranges(a[first], n_a)], batch.b[ranges(b[first], n_b)]
+        ends[end - n_b - 1], ends[end - 1] = ord("|"), ord(";")
+        body, lengths = _written(ids, ends)
+        numbers = len(self) + np.arange(len(which))
+        n_groups = np.bincount(window[last], minlength=len(which))
+        tokens = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(n_groups)])]
+        self.lengths = np.concatenate([self.lengths, np.diff(np.concatenate([[0], np.cumsum(lengths)])[tokens])])
+        self.body, self.pairs = np.concatenate([self.body, body]), np.concatenate([self.pairs, pairs])
+        self.groups = np.concatenate([self.groups, n_groups])
+        self.n_links = np.concatenate([self.n_links, np.bincount(window, minlength=len(which))])
+        self.counts = np.concatenate([self.counts, np.zeros(len(which), np.int64)])
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.checks = np.insert(self.hashes, at, hashes), np.insert(self.checks, at, checks)
+        self.numbers = np.insert(self.numbers, at, numbers)
+        return numbers
+
+    def links(self, windows: np.ndarray) -> np.ndarray:
+        """Pairs of ids of all links of some windows, end to end."""
+        return self.pairs[ranges((np.cumsum(self.n_links) - self.n_links)[windows], self.n_links[windows])]
+
+    def written(self, windows: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The groups of some windows end to end, each closed by ``;``, and the length of each window's."""
+        lengths = self.lengths[windows]
+        return self.body[ranges((np.cumsum(self.lengths) - self.lengths)[windows], lengths)].tobytes(), lengths
 
 
 FOUND = "kind int, block int, task int, batch int, n int, sizes binary, body binary"
@@ -270,10 +333,9 @@ def aligned(docs: DataFrame, path_a: str, model_b: bytes) -> DataFrame:
         task = TaskContext.get().partitionId()
 
         def counted() -> Iterator[pa.RecordBatch]:
-            pairs, at = memo.flat()
-            number = np.repeat(np.arange(len(memo)), np.diff(at))
-            distinct, which = np.unique(pairs, return_inverse=True)
-            n = np.bincount(which, weights=memo.counts[number], minlength=len(distinct)).astype(np.int64)
+            distinct, which = np.unique(memo.pairs, return_inverse=True)
+            n = np.zeros(len(distinct), np.int64)
+            np.add.at(n, which, np.repeat(memo.counts, memo.n_links))
             block = (mixed(distinct) % np.uint64(BLOCKS)).astype(np.int64)
             order = np.argsort(block, kind="stable")
             edges = np.searchsorted(block[order], np.arange(BLOCKS + 1))
@@ -282,27 +344,24 @@ def aligned(docs: DataFrame, path_a: str, model_b: bytes) -> DataFrame:
                 yield _row(1, b, task, 0, len(own), distinct[own], n[own])
 
         for number, batch in enumerate(pieces(batches)):
-            found = Aligned(tools, ["" if t is None else t for t in batch.column("text").to_pylist()])
-            distinct, first, which = np.unique(found.window_hashes(), return_index=True, return_inverse=True)
+            found = Aligned(tools, batch.column("text"))
+            hashes, checks = found.window_hashes()
+            distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
             if len(memo) and len(memo) + len(distinct) > MOST_WINDOWS:
                 yield from counted()
                 memo = Memo()
-            keys = found.keys(first)
-            new = [i for i, key in enumerate(keys) if key not in memo.numbers]
-            if new:
-                memo.learn(found, first[new], [keys[i] for i in new])
-            known = np.fromiter((memo.numbers[k] for k in keys), np.int64, len(keys))
+            known = memo.find(distinct, checks[first])
+            new = np.flatnonzero(known < 0)
+            known[new] = memo.learn(found, first[new], distinct[new], checks[first[new]])
             memo.counts[known] += np.bincount(which, minlength=len(known))
-            pairs, at = memo.flat()
-            groups = np.fromiter(map(memo.groups.__getitem__, known.tolist()), np.int64, len(known))[which]
+            body, lengths = memo.written(known[which])
             edges = np.concatenate([[0], np.cumsum(found.windows)])
-            texts = [memo.texts[k] for k in known[which].tolist()]
+            ends = np.concatenate([[0], np.cumsum(lengths)])[edges].tolist()
             sha = b"".join(
-                hashlib.sha256(b";".join(texts[a:b])).digest()
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
+                hashlib.sha256(body[a : max(b - 1, a)]).digest() for a, b in zip(ends[:-1], ends[1:], strict=True)
             )
-            sums = np.diff(np.concatenate([[0], np.cumsum(groups)])[edges])
-            n_links = np.diff(at)[known]
+            sums = np.diff(np.concatenate([[0], np.cumsum(memo.groups[known[which]])])[edges])
+            n_links = memo.n_links[known]
             ids = batch.column("doc_id")
             yield _row(
                 0, 0, task, number, batch.num_rows,
@@ -314,7 +373,7 @@ def aligned(docs: DataFrame, path_a: str, model_b: bytes) -> DataFrame:
                 found.windows.astype("<i4"),
                 np.frombuffer(sha, "u1"),
                 which.astype("<u4"),
-                pairs[ranges(at[known], n_links)],
+                memo.links(known),
                 n_links.astype("<u4"),
             )
         if len(memo):

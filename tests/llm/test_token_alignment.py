@@ -106,6 +106,8 @@ def strange(spark):
         " ",
         "\x00\x01 nul",
         "x" * 5000,
+        "a \u00a0b  \u3000 c\u0085 d\n  e \n f\t g \th  ",
+        " lead", "end ", "\n", "é é ñ  ñ", "it's  it 's 'll 've", "\x7f \x1f x",
         "don't can't we'll 1234567890 http://a.b/c?d=e&f",
         "the cat sat on the mat " * 40,
     ]
