@@ -38,11 +38,12 @@ from tallybook.session import materialise
 
 MOST_PAIRS = 2_000_000
 """Pairs of ids in the broadcast table of counts, 12 bytes each."""
-MOST_WINDOWS = 400_000
+MOST_WINDOWS = 250_000
 """Different windows that a task remembers; beyond it sends what it has counted and starts anew."""
-CACHED = 1_000_000
-"""Distinct parts of texts whose ids a worker remembers, about 45 MB for each tokenizer."""
-AT_ONCE = 20_000
+CACHED = 300_000
+"""Distinct parts of texts whose ids a worker remembers, about 15 MB for each tokenizer."""
+BATCH_BYTES = 2 << 20
+AT_ONCE = 5_000
 MARK = "▁"
 BLOCKS = 256
 
@@ -343,7 +344,7 @@ def aligned(docs: DataFrame, path_a: str, model_b: bytes) -> DataFrame:
                 own = order[edges[b] : edges[b + 1]]
                 yield _row(1, b, task, 0, len(own), distinct[own], n[own])
 
-        for number, batch in enumerate(pieces(batches)):
+        for number, batch in enumerate(pieces(batches, limit=BATCH_BYTES)):
             found = Aligned(tools, batch.column("text"))
             hashes, checks = found.window_hashes()
             distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
