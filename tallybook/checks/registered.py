@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tallybook.checks.views import TABLES, VIEWS, portable, spark_sql, table, view
 from tallybook.functions import quoted, row_fingerprint
 from tallybook.operators.aggregates import distinct_values_csv, source_counts
-from tallybook.operators.filters import apply_exclusions, user_assets
+from tallybook.operators.chains import in_page_order, page_faults
+from tallybook.operators.filters import apply_exclusions, exclude_by_table, user_assets
 from tallybook.operators.reshape import (
     map_entries_long,
     map_key_set,
@@ -40,7 +41,7 @@ from tallybook.plans.consolidation import consolidate_all, consolidate_table
 from tallybook.plans.landing import append_new, land_catalog, land_table
 from tallybook.plans.inventory import InventorySources, save_inventory
 from tallybook.plans.models import model_versions
-from tallybook.plans.reconcile import reconcile
+from tallybook.plans.reconcile import reconcile, reconcile_content
 from tallybook.plans.stats import (
     asset_properties,
     asset_stats,
@@ -60,6 +61,8 @@ from tallybook.sources.payloads import (
     DETAIL_SCHEMA,
     USER_SCHEMA,
     WORKSPACE_SCHEMA,
+    landed_pages,
+    read_page_chain,
     read_pages,
     read_payload,
 )
@@ -290,6 +293,68 @@ def evolve_append(src: Inputs) -> DataFrame:
     return read_table(src.spark, goal)
 
 
+NARROW_ORDERS = """
+    select cast(o_orderkey as int) as o_orderkey, cast(o_totalprice as decimal(12, 2)) as o_totalprice,
+           cast(o_orderdate as date) as o_orderdate
+    from {orders} where o_orderdate < timestamp '1995-01-01'"""
+MIDDLE_ORDERS = """
+    select o_orderkey, cast(o_totalprice as decimal(16, 4)) as o_totalprice,
+           cast(o_orderdate as date) as o_orderdate
+    from {orders} where o_orderdate < timestamp '1997-01-01'"""
+WIDE_ORDERS = "select o_orderkey, o_totalprice, o_orderdate from {orders}"
+
+
+def _widening_runs(src: Inputs, goal: TableRef) -> list[Row]:
+    """Batches of ever wider types, then all of them again."""
+    batches = [src.sql(text) for text in (NARROW_ORDERS, MIDDLE_ORDERS, WIDE_ORDERS)]
+    return [append_new(df, goal) for df in (*batches, *batches)]
+
+
+@query(WIDE_ORDERS)
+def landed_widened_types(src: Inputs) -> DataFrame:
+    """Keys become long, decimals wider and then double, dates timestamps, and no order is there twice."""
+    goal = src.ledger("orders")
+    _widening_runs(src, goal)
+    return read_table(src.spark, goal)
+
+
+@query(
+    """select 1 as run, 'created' as action, count(*) as row_count
+         from {orders} where o_orderdate < timestamp '1995-01-01'
+       union all select 2, 'appended', count(*) from {orders}
+         where o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1997-01-01'
+       union all select 3, 'appended', count(*) from {orders} where o_orderdate >= timestamp '1997-01-01'
+       union all select 4, 'unchanged', 0 union all select 5, 'unchanged', 0
+       union all select 6, 'unchanged', 0"""
+)
+def landed_widened_replay(src: Inputs) -> DataFrame:
+    return src.statuses(_widening_runs(src, src.ledger("orders")))
+
+
+@query(
+    """select cast(c_custkey as bigint) as party_key, cast(c_acctbal as double) as balance,
+              c_mktsegment as code from {customer}
+       union all
+       select s_suppkey, s_acctbal, cast(s_nationkey as string) from {supplier}"""
+)
+def consolidated_mixed_types(src: Inputs) -> DataFrame:
+    """int beside long, decimal beside double, and a code that only text can hold for both; read twice."""
+    goal = src.ledger("parties")
+    customers = src.landed(
+        src.sql(
+            """select cast(c_custkey as int) as party_key, cast(c_acctbal as decimal(12, 2)) as balance,
+                      c_mktsegment as code from {customer}"""
+        ),
+        "customer",
+    )
+    suppliers = src.landed(
+        src.sql("select s_suppkey as party_key, s_acctbal as balance, s_nationkey as code from {supplier}"), "supplier"
+    )
+    for refs in ([customers], [suppliers, customers], [customers, suppliers], [suppliers]):
+        consolidate_table(src.spark, refs, goal, as_text=True)
+    return read_table(src.spark, goal)
+
+
 @query(PARTIES)
 def consolidate_increment(src: Inputs) -> DataFrame:
     """The target starts with the suppliers and some customers, then takes in the rest."""
@@ -384,6 +449,28 @@ def reconcile_sources(src: Inputs) -> DataFrame:
     return reconcile(sources, {"nation": read_table(src.spark, goal), "customer": customer})
 
 
+@query(
+    """select c_custkey, c_name, 2 as source_rows,
+              case when c_custkey % 50 = 3 then 1 when c_custkey % 50 = 7 then 0 else 3 end as target_rows
+       from {customer} where c_custkey % 50 in (3, 7, 11)
+       union all
+       select s_suppkey, s_name, 0, 1 from {supplier}"""
+)
+def reconciled_content(src: Inputs) -> DataFrame:
+    """Both catalogs hold every customer; the target lost some copies, has others too often, and rows of no source.
+
+    The rows lost and those too many are as many, so that counts alone show less than what is wrong.
+    """
+    customer = src.sql("select c_custkey, c_name from {customer}")
+    goal = src.ledger("customer")
+    copies = F.expr("case c_custkey % 50 when 3 then 1 when 7 then 0 when 11 then 3 else 2 end")
+    written = customer.withColumn("_", F.explode(F.sequence(F.lit(0), copies))).filter("_ > 0").drop("_")
+    stray = src.sql("select s_suppkey as c_custkey, s_name as c_name from {supplier}")
+    append_new(union_sources([written, stray]), goal)
+    found = reconcile_content({"east": customer, "west": customer}, read_table(src.spark, goal, with_key=True))
+    return found.select("c_custkey", "c_name", F.col("source_rows").cast("int"), F.col("target_rows").cast("int"))
+
+
 @query(
     " union all ".join(
         f"select '{t}' as source, count(*) as row_count from {{{t}}}" for t in TABLES
@@ -466,6 +553,62 @@ def excluded_assets(src: Inputs) -> DataFrame:
     return apply_exclusions(src.sql(ASSETS), **EXCLUDED)
 
 
+NULL_NAMES = """
+    select o_orderkey, case when o_orderkey % 9 <> 0 then concat('s', cast(o_custkey % 11 as string)) end as name
+    from {orders}"""
+SHARES = """
+    select concat('s', cast(n_nationkey as string)) as share from {nation} where n_nationkey % 3 = 0"""
+NULL_SHARES = SHARES + " union all select cast(null as string) from {region}"
+NO_SHARES = SHARES + " and n_nationkey < 0"
+
+
+@query(
+    f"""select 'as not in' as rule, * from ({NULL_NAMES}) a where name not in ({SHARES})
+        union all
+        select 'null among names', * from ({NULL_NAMES}) b where name not in ({NULL_SHARES})
+        union all
+        select 'no names', * from ({NULL_NAMES}) c
+        union all
+        select 'nulls kept', * from ({NULL_NAMES}) d where name is null or name not in ({SHARES})
+        union all
+        select 'nulls kept, null among names', * from ({NULL_NAMES}) e
+        where name is null or name not in ({SHARES})"""
+)
+def excluded_by_table(src: Inputs) -> DataFrame:
+    """The rule for NULLs on either side, with and without ``keep_nulls``; the names stay a table."""
+    assets = src.sql(NULL_NAMES)
+    cases = [
+        ("as not in", SHARES, False),
+        ("null among names", NULL_SHARES, False),
+        ("no names", NO_SHARES, False),
+        ("nulls kept", SHARES, True),
+        ("nulls kept, null among names", NULL_SHARES, True),
+    ]
+    found = [
+        exclude_by_table(assets, "name", src.sql(names), keep).select(F.lit(rule).alias("rule"), "*")
+        for rule, names, keep in cases
+    ]
+    return union_sources(found)
+
+
+@query(
+    """select distinct catalog, schema, "table" from {fx_registry} r
+       where catalog not in (select catalog from {fx_registry} where origin = 'share') and schema <> 'BUILDING'"""
+)
+def excluded_shared_catalogs(src: Inputs) -> DataFrame:
+    """Catalogs that come from a share leave the inventory without being collected."""
+    registry = src("fx_registry")
+    kept = apply_exclusions(
+        registry,
+        schemas=["BUILDING"],
+        catalogs=reg.shared_catalogs(registry),
+        schema_col="schema",
+        table_col="table",
+        catalog_col="catalog",
+    )
+    return kept.select("catalog", "schema", "table").distinct()
+
+
 @query(
     f"""select distinct catalog_name, schema_name, table_name from ({ASSETS}) a
         where schema_name <> 'information_schema' and catalog_name not in ('NATION_0')
@@ -1164,3 +1307,52 @@ def land_replay_catalog(src: Inputs) -> DataFrame:
     finally:
         src.spark.sql(f"DROP SCHEMA IF EXISTS spark_catalog.{schema} CASCADE")
     return src.spark.createDataFrame(rows, "run int, action string, row_count long")
+
+
+# --- chains of pages ---------------------------------------------------------------------
+
+# One order a page, in 40 chains. Of every five chains one has lost a page, one was served some pages twice, and
+# one leads from its last page back to the fourth.
+CHAINED_ORDERS = """
+    select chain_id, o_orderkey, p, n, case when p > 0 then concat('t', cast(p as string)) end as page_token,
+           case when p < n - 1 then concat('t', cast(p + 1 as string))
+                when chain_id % 5 = 3 then 't3' end as next_page_token,
+           case when chain_id % 5 = 2 and p % 7 = 0 then 2 else 1 end as copies
+    from (select o_custkey % 40 as chain_id, o_orderkey,
+                 row_number() over (partition by o_custkey % 40 order by o_orderkey) - 1 as p,
+                 count(*) over (partition by o_custkey % 40) as n
+          from {orders}) numbered
+    where not (chain_id % 5 = 1 and p = 20)"""
+PAGE_FIELDS = ("items", "o_orderkey bigint", "chain_id bigint", "page_token", "next_page_token")
+
+
+def _chained_orders(src: Inputs) -> str:
+    pages = src.sql(CHAINED_ORDERS).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    items = F.array(F.struct("o_orderkey")).alias("items")
+    return src.json(pages.select("chain_id", "page_token", "next_page_token", items), "chained")
+
+
+@query(
+    f"""select chain_id, o_orderkey,
+               cast(case when chain_id % 5 = 1 and p > 20 then null else p end as string) as page_position
+        from ({CHAINED_ORDERS}) c"""
+)
+def chained_pages(src: Inputs) -> DataFrame:
+    found = read_page_chain(src.spark, _chained_orders(src), *PAGE_FIELDS)
+    return found.withColumn("page_position", F.col("page_position").cast("string"))
+
+
+@query(
+    f"""select chain_id, 'repeated' as kind, coalesce(page_token, '') as token, 2 as n
+          from ({CHAINED_ORDERS}) a where copies = 2
+        union all
+        select distinct chain_id, 'lost', 't20', 1 from ({CHAINED_ORDERS}) b where chain_id % 5 = 1 and n > 20
+        union all
+        select chain_id, 'unreached', page_token, 1 from ({CHAINED_ORDERS}) c where chain_id % 5 = 1 and p > 20
+        union all
+        select chain_id, 'loop', 't3', 1 from ({CHAINED_ORDERS}) d where chain_id % 5 = 3 and p = n - 1"""
+)
+def page_chain_faults(src: Inputs) -> DataFrame:
+    _, _, _, *tokens = PAGE_FIELDS
+    pages = landed_pages(src.spark, _chained_orders(src), *PAGE_FIELDS)
+    return page_faults(pages, ["chain_id"], *tokens).withColumn("n", F.col("n").cast("int"))

@@ -11,18 +11,53 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from tallybook.functions import KEY, row_key
+from tallybook.functions import KEY, quoted, row_key
+from tallybook.operators.types import common_type, exact, keeps_text, loses
 from tallybook.session import materialise
 
 
-def union_sources(sources: Iterable[DataFrame | None]) -> DataFrame | None:
-    """Bag union by column name; columns a source lacks are NULL, absent sources are skipped."""
+def union_sources(sources: Iterable[DataFrame | None], as_text: bool = False) -> DataFrame | None:
+    """Bag union by column name; columns a source lacks are NULL, absent sources are skipped.
+
+    A column whose type differs takes the least common type (see ``operators.types``), with ``as_text``
+    text where there is no other; without it such a column is an error that names it.
+    """
     present = [s for s in sources if s is not None]
     if not present:
         return None
+    schemas = [s.schema for s in present]
+    if any(differ_in_type(schemas[0], s) for s in schemas[1:]) or _disagree(schemas):
+        schema = reduce(lambda a, b: widened_schema(a, b, types=True, as_text=as_text), schemas)
+        present = [conform(s, schema) for s in present]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), present)
 
 
+def differ_in_type(a: T.StructType, b: T.StructType) -> bool:
+    """Whether a column that both have differs in more than the fields of structs."""
+    types = {f.name.lower(): f.dataType for f in a.fields}
+    return any(f.name.lower() in types and _differs(types[f.name.lower()], f.dataType) for f in b.fields)
+
+
+def _disagree(schemas: list[T.StructType]) -> bool:
+    """The same for columns that the first schema lacks."""
+    merged = schemas[0]
+    for schema in schemas[1:]:
+        if differ_in_type(merged, schema):
+            return True
+        merged = widened_schema(merged, schema)
+    return False
+
+
+def _differs(a: T.DataType, b: T.DataType) -> bool:
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return differ_in_type(a, b)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return _differs(a.elementType, b.elementType)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return _differs(a.keyType, b.keyType) or _differs(a.valueType, b.valueType)
+    return a != b
+
+
 def reject_key_name(df: DataFrame) -> None:
     """A user's column cannot have the name of the hidden key: it would be taken for one."""
     if KEY.lower() in (c.lower() for c in df.columns):
@@ -35,29 +70,39 @@ def with_row_key(df: DataFrame, mode: str) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` in the columns, order and types of ``schema``; a type that cannot be stored fails."""
+    """``df`` in the columns, order and types of ``schema``; a type or value that cannot be stored fails."""
     renamed = {f.name.lower(): f.name for f in schema.fields}
     named = df.withColumnsRenamed({c: renamed[c.lower()] for c in df.columns if c.lower() in renamed})
-    return named.to(schema)
-
-
-def widened_type(old: T.DataType, new: T.DataType) -> T.DataType:
-    """The old type, with struct fields that only the new one has added at any depth."""
+    goal = {f.name: f.dataType for f in schema.fields}
+    checked = {
+        f.name: exact(quoted(f.name), f.dataType, goal[f.name])
+        for f in named.schema.fields
+        if f.name in goal and loses(f.dataType, goal[f.name])
+    }
+    return (named.withColumns(checked) if checked else named).to(schema)
+
+
+def widened_type(old: T.DataType, new: T.DataType, types: bool = False, as_text: bool = False) -> T.DataType:
+    """The old type, with struct fields that only the new one has added at any depth; with ``types`` the least
+    common type where they differ, and the old one where there is none."""
     if isinstance(old, T.StructType) and isinstance(new, T.StructType):
-        return widened_schema(old, new)
+        return widened_schema(old, new, types, as_text)
     if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
-        return T.ArrayType(widened_type(old.elementType, new.elementType))
+        return T.ArrayType(widened_type(old.elementType, new.elementType, types, as_text))
     if isinstance(old, T.MapType) and isinstance(new, T.MapType):
-        return T.MapType(old.keyType, widened_type(old.valueType, new.valueType))
-    return old
+        key = widened_type(old.keyType, new.keyType, types, as_text)
+        return T.MapType(key, widened_type(old.valueType, new.valueType, types, as_text))
+    return (common_type(old, new, as_text) or old) if types else old
 
 
-def widened_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+def widened_schema(
+    old: T.StructType, new: T.StructType, types: bool = False, as_text: bool = False
+) -> T.StructType:
     """Columns of ``old`` in place, those only in ``new`` at the end, all nullable."""
     incoming = {f.name.lower(): f.dataType for f in new.fields}
     known = {f.name.lower() for f in old.fields}
     fields = [
-        T.StructField(f.name, widened_type(f.dataType, incoming.get(f.name.lower(), f.dataType)))
+        T.StructField(f.name, widened_type(f.dataType, incoming.get(f.name.lower(), f.dataType), types, as_text))
         for f in old.fields
     ]
     fields += [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in known]
@@ -95,7 +140,8 @@ def find_unseen(
     """Rows of ``source`` whose content ``target`` does not hold, copies included.
 
     Either side may carry row keys already (columns named ``KEY``), as ledger tables do. A strict
-    source is brought to the target's names and types first, so that equal content has equal keys.
+    source is brought to the target's names first, and where their types differ both to the common
+    ones, so that equal content has equal keys. A target with keys has its types already.
 
     One plan for any size. Keys of both sides are made unique before they are shuffled (copies
     combine map-side), so a row that fills a third of a table is one key, and 32 bytes a distinct
@@ -104,7 +150,11 @@ def find_unseen(
     whose overlong partitions of one key it splits when it did not.
     """
     if mode == "strict" and KEY not in source.columns:
-        source = conform(source, widened_schema(target.drop(KEY).schema, source.schema))
+        plain = target.drop(KEY).schema
+        schema = widened_schema(plain, source.schema, types=KEY not in target.columns)
+        source = conform(source, schema)
+        if KEY not in target.columns and not keeps_text(plain, schema):
+            target = conform(target, schema)
     if prune_on is not None:
         target = within_range_of(target, source, prune_on)
     keyed = source if KEY in source.columns else with_row_key(source, mode)
@@ -120,8 +170,8 @@ def new_rows(
 ) -> DataFrame:
     """Rows of ``source`` whose content ``target`` does not hold, copies included.
 
-    They come in the target's names and types (in strict mode), with columns that only the source
-    has at the end. ``prune_on`` names a column (an event time, say) by whose range the target is pruned.
+    They come in the target's names and the common types (in strict mode), with columns that only the
+    source has at the end. ``prune_on`` names a column (an event time, say) by whose range the target is pruned.
     """
     reject_key_name(source)
     reject_key_name(target)

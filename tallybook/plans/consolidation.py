@@ -27,19 +27,23 @@ def consolidate_table(
     mode: str = "strict",
     dedupe: bool = False,
     prune_on: str | None = None,
+    as_text: bool = False,
 ) -> Row:
     """Union the sources that exist and append what the target lacks.
 
     The union has every column of any source before a strict key is made, so a row keeps
     its key when another source later brings more columns. Compat keys cover the columns a
-    source has of its own and are made before the union.
+    source has of its own and are made before the union. Columns that differ in type take the least
+    common one, in the union and in a ledger that is there already; text only ``as_text``.
     """
     present = [df for df in (load_view(spark, ref) for ref in sources) if df is not None]
     if not present:
         return status(target, SKIPPED)
     if mode == "compat":
         present = [with_row_key(df, mode) for df in present]
-    return append_new(union_sources(present), target, mode, dedupe, prune_on, keyed=mode == "compat")
+    return append_new(
+        union_sources(present, as_text), target, mode, dedupe, prune_on, keyed=mode == "compat", as_text=as_text
+    )
 
 
 def consolidate_all(
@@ -56,6 +60,7 @@ def consolidate_all(
     workers: int = 8,
     dedupe: bool = False,
     prune_on: Mapping[str, str] | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
     """Find the source catalogs and consolidate each of their tables; the target itself is
     never a source. Without a ``target_root`` the targets are tables of the catalog ``target``.
@@ -71,6 +76,6 @@ def consolidate_all(
         (schema, table), refs = item
         goal = target_of(target_root, target, schema, table)
         bound = prune_on.get(f"{schema}.{table}")
-        return goal, lambda: consolidate_table(spark, refs, goal, mode, dedupe, bound)
+        return goal, lambda: consolidate_table(spark, refs, goal, mode, dedupe, bound, as_text)
 
     return each_table(spark, map(merging, sorted(groups.items())), fail_fast, workers)

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from tallybook.functions import KEY
 from tallybook.operators.rows import conform, find_unseen, reject_key_name, widened_schema, with_row_key
+from tallybook.operators.types import keeps_text
 from tallybook.sources.registry import EXCLUDED_TABLES, apply_name_exclusions, to_refs
 from tallybook.sources.tables import (
-    LEDGER,
     TableRef,
     append_table,
     create_table,
+    is_ledger,
     read_table,
     table_exists,
 )
@@ -40,6 +41,7 @@ def append_new(
     dedupe: bool = False,
     prune_on: str | None = None,
     keyed: bool = False,
+    as_text: bool = False,
 ) -> Row:
     """Create the table from ``df``, or append the rows of ``df`` it lacks; nothing else.
 
@@ -47,12 +49,13 @@ def append_new(
     created where it is missing, or a folder of files; of the latter two the keys are made when
     they are needed and never stored. Copies within ``df`` are kept unless ``dedupe``.
     ``keyed`` says that ``df`` carries compat keys of its own; a user's column may not have
-    the key's name.
+    the key's name. Where types differ a ledger's columns widen to the common ones (``as_text``: to text
+    where there are no others), and rows are known by their content in those.
     """
     spark = df.sparkSession
     if not keyed:
         reject_key_name(df)
-    stored = mode == "strict" and ref.path is not None and ref.format == LEDGER
+    stored = mode == "strict" and is_ledger(ref)
     if not table_exists(spark, ref):
         new = df if keyed else with_row_key(df, mode)
         new = new.dropDuplicates([KEY]) if dedupe else new
@@ -60,13 +63,16 @@ def append_new(
 
     target = read_table(spark, ref, with_key=stored)
     if mode == "strict":
-        plain = df.drop(KEY)
-        df = conform(plain, widened_schema(target.drop(KEY).schema, plain.schema))
+        plain, known = df.drop(KEY), target.drop(KEY)
+        schema = widened_schema(known.schema, plain.schema, types=stored, as_text=as_text)
+        df = conform(plain, schema)
+        if stored and not keeps_text(known.schema, schema):
+            target = with_row_key(conform(known, schema), mode)
     unseen = find_unseen(df, target, mode, prune_on)
     if unseen.row_count == 0:
         return status(ref, UNCHANGED)
     new = unseen.rows.dropDuplicates([KEY]) if dedupe else unseen.rows
-    return status(ref, APPENDED, append_table(new if stored else new.drop(KEY), ref))
+    return status(ref, APPENDED, append_table(new if stored else new.drop(KEY), ref, as_text=as_text))
 
 
 def land_table(
@@ -76,9 +82,10 @@ def land_table(
     mode: str = "strict",
     dedupe: bool = False,
     prune_on: str | None = None,
+    as_text: bool = False,
 ) -> Row:
     """Land one table: created when absent, else only unseen rows are appended."""
-    return append_new(read_table(spark, source), target, mode, dedupe, prune_on)
+    return append_new(read_table(spark, source), target, mode, dedupe, prune_on, as_text=as_text)
 
 
 def target_of(root: str | None, catalog: str, schema: str, table: str) -> TableRef:
@@ -124,6 +131,7 @@ def land_catalog(
     workers: int = 8,
     dedupe: bool = False,
     prune_on: Mapping[str, str] | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
     """Land every table of a catalog; ``rename`` maps schema names, such as that of the
     information schema, which the target catalog has of its own.
@@ -141,6 +149,6 @@ def land_catalog(
         schema = rename.get(ref.schema, ref.schema)
         goal = target_of(target_root, target, schema, ref.table)
         bound = prune_on.get(f"{ref.schema}.{ref.table}")
-        return goal, lambda: land_table(spark, ref, goal, mode, dedupe, bound)
+        return goal, lambda: land_table(spark, ref, goal, mode, dedupe, bound, as_text)
 
     return each_table(spark, map(landing, refs), fail_fast, workers)
