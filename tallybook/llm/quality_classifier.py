@@ -11,7 +11,8 @@ shares by label; the shares are put right in the logistic unit's offset. Tasks e
 driver gets numbers, not texts. Scoring reads all passages of all whole texts.
 
 Defined results: null and empty texts are one passage without words; several labels of one document
-are so many rows to learn from, null labels none; without labels every score is 0.5; rows that repeat
+are so many rows to learn from, null labels none; without labels every score is 0.5, with one kind of
+label alone it is that label; labels of documents that aren't there count for nothing; rows that repeat
 give repeated rows; labels, language, source and id are no inputs of a score.
 """
 
@@ -25,7 +26,6 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallybook.llm.sampling import crc_is, labelled_sample
 from tallybook.llm.words import Words, pieces
@@ -33,6 +33,8 @@ from tallybook.llm.words import Words, pieces
 PASSAGE = 64
 SAMPLE_ROWS = 3_000
 HIDDEN, ATTENTION = 24, 12
+SCORED_BYTES = 1 << 20
+"""Text that is encoded at a time, a single longer one by itself."""
 EPOCHS, BAGS_AT_ONCE, RATE, DECAY = 30, 64, 0.01, 1e-4
 
 _KINDS = 16
@@ -178,8 +180,9 @@ def train(bags: list[np.ndarray], goal: np.ndarray, weight: tuple[float, float],
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str, held_out: Column | None = None, most: int = SAMPLE_ROWS
-) -> Model | None:
-    """A model from texts and the 0/1 ``label`` in ``labels`` by ``doc_id``; None without any to learn from."""
+) -> Model | float:
+    """A model from texts and the 0/1 ``label`` in ``labels`` by ``doc_id``; where the labels aren't of both
+    kinds, the share of label 1 (one half without any)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -191,27 +194,30 @@ def fit(
 
     rows, counts = labelled_sample(docs, labels, label, most, held_out)
     sample = rows.mapInArrow(run, "doc_id long, goal int, bag binary").collect()
-    if not sample:
-        return None
+    if len({r["goal"] for r in sample}) < 2:
+        return float(sample[0]["goal"]) if sample else 0.5
     sample.sort(key=lambda r: (r["doc_id"], r["goal"], bytes(r["bag"])))
     bags = [np.frombuffer(r["bag"], "<f2").astype(np.float32).reshape(-1, FEATURES) for r in sample]
     goal = np.array([r["goal"] for r in sample], float)
     return train(bags, goal, (counts.get(0, 0), counts.get(1, 0)))
 
 
-def with_scores(docs: DataFrame, model: Model | None, name: str = "quality_score") -> DataFrame:
-    """``docs`` with a column ``name`` (double, 0 to 1); it replaces one of that name."""
+def with_scores(docs: DataFrame, model: Model | float, name: str = "quality_score") -> DataFrame:
+    """``docs`` with a column ``name`` (double, 0 to 1); it replaces one of that name.
+
+    Only the texts go to Python, some at a time; all other columns stay where they are.
+    """
     docs = docs.drop(name)
     held: Broadcast = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            model = held.value
-            score = np.full(batch.num_rows, 0.5) if model is None else model.scores(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score.astype(float))], schema.names)
+    def score(texts: pa.Array) -> pa.Array:
+        if isinstance(held.value, float):
+            return pa.array(np.full(len(texts), held.value))
+        rows = pa.RecordBatch.from_arrays([texts], ["text"])
+        found = [held.value.scores(part.column("text")) for part in pieces(iter([rows]), limit=SCORED_BYTES)]
+        return pa.array(np.concatenate([np.zeros(0), *found]).astype(float))
 
-    return docs.mapInArrow(run, schema)
+    return docs.withColumn(name, F.arrow_udf(score, "double")(F.col("text")))
 
 
 def predicted(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1) -> DataFrame:

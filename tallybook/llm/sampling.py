@@ -8,6 +8,8 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.session import materialise
+
 _STEPS = 1 << 30
 
 
@@ -17,10 +19,10 @@ def crc_is(modulus: int, remainder: int) -> Column:
     return F.coalesce(F.pmod(crc, F.lit(modulus)) == remainder, F.lit(False))
 
 
-def bounded(rows: DataFrame, label: str, most: int) -> DataFrame:
+def bounded(rows: DataFrame, label: str, most: int, *keys: str) -> DataFrame:
     """About ``most`` rows at most, as many of each label as there are, up to equal shares.
 
-    Rows are chosen by a hash of ``doc_id`` below a limit that follows from the label's count, so
+    Rows are chosen by a hash of ``keys`` (``doc_id`` without any) below a limit that follows from the label's count, so
     only ids and labels are read to choose and no row is moved. Null labels are left out.
     """
     rows = rows.filter(F.col(label).isNotNull())
@@ -28,7 +30,7 @@ def bounded(rows: DataFrame, label: str, most: int) -> DataFrame:
     if not counts:
         return rows
     share = most // len(counts)
-    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(_STEPS))
+    place = F.pmod(F.xxhash64(F.lit("sample"), *(keys or ("doc_id",))), F.lit(_STEPS))
     limits = [
         (F.col(label) == value) & (place < min(_STEPS, int(_STEPS * share / count)))
         for value, count in counts.items()
@@ -39,16 +41,22 @@ def bounded(rows: DataFrame, label: str, most: int) -> DataFrame:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, most: int, held_out: Column | None = None
 ) -> tuple[DataFrame, dict[int, int]]:
-    """``doc_id, text, goal`` of at most about ``most`` labelled documents, and how many rows each label has.
+    """``doc_id, text, goal`` of at most about ``most`` labelled documents, and how many documents have each label.
 
-    Chosen among the labels alone, so that the few chosen are broadcast to the texts and no text is
-    moved. Labels other than 0 and 1 and those of held-out ids are left out.
+    Documents are told apart by id and text together, and chosen by a hash of both, so that an id
+    with very many rows gives no more than its share; copies of one row count once. Only labels of
+    documents that are there count. Ids and hashes are joined with the labels; the few chosen are
+    then broadcast to the texts, so that no text is moved. Labels other than 0 and 1 and those of
+    held-out ids are left out; without any that match, the sample is empty.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("goal"))
     rows = rows.filter("goal IN (0, 1) AND doc_id IS NOT NULL")
     if held_out is not None:
         rows = rows.filter(~held_out)
-    counts = {r[0]: r[1] for r in rows.groupBy("goal").count().collect()}
-    chosen = F.broadcast(bounded(rows, "goal", most))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(chosen, "doc_id"), counts
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
+    known = texts.select("doc_id", "tag").join(rows, "doc_id").distinct()
+    known, _ = materialise(known, "labelled")
+    counts = {r[0]: r[1] for r in known.groupBy("goal").count().collect()}
+    chosen = bounded(known, "goal", most, "doc_id", "tag")
+    found = texts.join(F.broadcast(chosen), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag", "goal"])
+    return found.select("doc_id", "text", "goal"), counts

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallybook.llm import language_id, quality_classifier, queries, toxicity
+from tallybook.llm import components, language_id, quality_classifier, queries, sampling, toxicity
 from tests.llm.conftest import odd_rows, prose
 
 SF = "/root/testdata/sf0.01"
@@ -163,3 +163,33 @@ def test_odd_inputs(odd, none, labels):
     one_kind = labels.filter("toxic = 1")
     assert {r["score"] for r in toxicity.predicted(odd, one_kind).collect()} == {1.0}
     assert quality_classifier.with_scores(odd, None, "score").filter("score = 0.5").count() == len(odd_rows())
+
+
+def test_labels_without_documents_count_for_nothing(spark, tables):
+    docs = tables("documents")
+    there = docs.select("doc_id").limit(40).collect()
+    one_kind = spark.createDataFrame([(r["doc_id"], 1, 1) for r in there], "doc_id long, quality int, toxic int")
+    absent = spark.createDataFrame([(10**9 + i, 0, 0) for i in range(500)], one_kind.schema)
+    rows, counts = sampling.labelled_sample(docs, one_kind.unionByName(absent), "quality", 100)
+    assert counts == {1: 40} and rows.count() == 40
+    found = quality_classifier.predicted(docs, one_kind.unionByName(absent)).collect()
+    assert len(found) == docs.count() and all(r["predicted"] == 1 for r in found)
+    none = quality_classifier.predicted(docs, absent).collect()
+    assert {r["score"] for r in none} == {0.5}
+
+
+def test_a_hot_id_gives_no_more_than_its_share(spark):
+    hot = spark.range(3000).selectExpr("cast(7 as long) doc_id", "concat('text ', id) text")
+    copies = spark.range(3000).selectExpr("cast(8 as long) doc_id", "'same' text")
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    rows, counts = sampling.labelled_sample(hot.unionByName(copies), labels, "quality", 200)
+    assert counts == {0: 1, 1: 3000}
+    kinds = {r[0]: r[1] for r in rows.groupBy("goal").count().collect()}
+    assert kinds[0] == 1 and 60 < kinds[1] < 150
+
+
+def test_links_that_do_not_settle_end_the_job(spark):
+    chain = spark.range(40).selectExpr("id a", "id + 1 b")
+    with pytest.raises(RuntimeError, match="settled"):
+        components.components(chain, most_rounds=2)
+    assert {r["root"] for r in components.components(chain).collect()} == {0}
