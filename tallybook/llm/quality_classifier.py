@@ -202,13 +202,13 @@ def fit(
     return train(bags, goal, (counts.get(0, 0), counts.get(1, 0)))
 
 
-def with_scores(docs: DataFrame, model: Model | float, name: str = "quality_score") -> DataFrame:
+def with_scores(docs: DataFrame, model: Model | float | None, name: str = "quality_score") -> DataFrame:
     """``docs`` with a column ``name`` (double, 0 to 1); it replaces one of that name.
 
     Only the texts go to Python, some at a time; all other columns stay where they are.
     """
     docs = docs.drop(name)
-    held: Broadcast = docs.sparkSession.sparkContext.broadcast(model)
+    held: Broadcast = docs.sparkSession.sparkContext.broadcast(0.5 if model is None else model)
 
     def score(texts: pa.Array) -> pa.Array:
         if isinstance(held.value, float):
