@@ -57,6 +57,7 @@ from tallybook.plans.workspaces import (
 )
 from tallybook.session import scratch_path
 from tallybook.sources import registry as reg
+from tallybook.sources.keys import KeyIndex
 from tallybook.sources.payloads import (
     DETAIL_SCHEMA,
     USER_SCHEMA,
@@ -1356,3 +1357,27 @@ def page_chain_faults(src: Inputs) -> DataFrame:
     _, _, _, *tokens = PAGE_FIELDS
     pages = landed_pages(src.spark, _chained_orders(src), *PAGE_FIELDS)
     return page_faults(pages, ["chain_id"], *tokens).withColumn("n", F.col("n").cast("int"))
+
+
+# --- landing against bucketed keys -------------------------------------------------------
+
+
+@query(
+    """select 1 as run, 'created' as action, count(*) as row_count from {lineitem} where l_shipdate < '1998-01-01'
+       union all select 2, 'appended', count(*) from {lineitem} where l_shipdate >= '1998-01-01'
+       union all select 3, 'unchanged', 0
+       union all select 4, 'read', count(*) from {lineitem}"""
+)
+def land_replay_bucketed(src: Inputs) -> DataFrame:
+    """Lineitem landed three times, its known keys looked up bucket by bucket."""
+    goal = src.ledger("lineitem")
+    schema = "tallybook_" + scratch_path(src.spark, "x").rsplit("-", 1)[1][:12]
+    index, rows = KeyIndex(schema, "lineitem_keys", buckets=16), src("lineitem")
+    try:
+        runs = (rows.filter("l_shipdate < '1998-01-01'"), rows, rows)
+        done = [append_new(df, goal, index=index) for df in runs]
+        found = [(i + 1, r["action"], r["row_count"]) for i, r in enumerate(done)]
+        found.append((4, "read", read_table(src.spark, goal).count()))
+    finally:
+        src.spark.sql(f"DROP SCHEMA IF EXISTS spark_catalog.{schema} CASCADE")
+    return src.spark.createDataFrame(found, "run int, action string, row_count long")

@@ -135,7 +135,12 @@ class Unseen:
 
 
 def find_unseen(
-    source: DataFrame, target: DataFrame, mode: str = "strict", prune_on: str | None = None
+    source: DataFrame,
+    target: DataFrame,
+    mode: str = "strict",
+    prune_on: str | None = None,
+    bucketed: DataFrame | None = None,
+    buckets: int = 0,
 ) -> Unseen:
     """Rows of ``source`` whose content ``target`` does not hold, copies included.
 
@@ -148,6 +153,9 @@ def find_unseen(
     row cross the network. The unseen keys are written; then the source's rows of those keys are
     fetched by a semi-join, which Spark broadcasts when it sees that few keys were written, and
     whose overlong partitions of one key it splits when it did not.
+
+    ``bucketed`` are the target's keys in a table of so many ``buckets`` by key: then the source's keys
+    alone are shuffled, to those buckets, and the target is read where it lies.
     """
     if mode == "strict" and KEY not in source.columns:
         plain = target.drop(KEY).schema
@@ -155,16 +163,30 @@ def find_unseen(
         source = conform(source, schema)
         if KEY not in target.columns and not keeps_text(plain, schema):
             target = conform(target, schema)
-    if prune_on is not None:
+    if prune_on is not None and bucketed is None:
         target = within_range_of(target, source, prune_on)
     keyed = source if KEY in source.columns else with_row_key(source, mode)
-    known = (target if KEY in target.columns else with_row_key(target, mode)).select(KEY)
     copies = keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    keys, _ = materialise(copies.join(known.distinct(), KEY, "left_anti"), "unseen-keys")
+    if bucketed is None:
+        known = (target if KEY in target.columns else with_row_key(target, mode)).select(KEY)
+        unseen = copies.join(known.distinct(), KEY, "left_anti")
+    else:
+        unseen = keys_not_in_buckets(copies, bucketed, buckets)
+    keys, _ = materialise(unseen, "unseen-keys")
     row_count = keys.agg(F.sum("_rows")).first()[0] or 0
     return Unseen(keyed.join(keys.select(KEY), KEY, "left_semi"), row_count)
 
 
+def keys_not_in_buckets(keys: DataFrame, bucketed: DataFrame, buckets: int) -> DataFrame:
+    """The rows of ``keys`` (unique) that a bucketed table of keys lacks; that table isn't moved.
+
+    The bucket of each row comes along as ``_bucket``: a value that depends on the partition keeps the
+    join above the partitioning, under which Spark would push it otherwise.
+    """
+    dealt = keys.repartition(buckets, KEY).withColumn("_bucket", F.spark_partition_id())
+    return dealt.join(bucketed.hint("merge"), KEY, "left_anti")
+
+
 def new_rows(
     source: DataFrame, target: DataFrame, mode: str = "strict", prune_on: str | None = None
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from tallybook.functions import KEY
 from tallybook.operators.rows import conform, find_unseen, reject_key_name, widened_schema, with_row_key
 from tallybook.operators.types import keeps_text
+from tallybook.sources.keys import KeyIndex, synced_keys
 from tallybook.sources.registry import EXCLUDED_TABLES, apply_name_exclusions, to_refs
 from tallybook.sources.tables import (
     TableRef,
@@ -42,6 +43,7 @@ def append_new(
     prune_on: str | None = None,
     keyed: bool = False,
     as_text: bool = False,
+    index: KeyIndex | None = None,
 ) -> Row:
     """Create the table from ``df``, or append the rows of ``df`` it lacks; nothing else.
 
@@ -50,7 +52,9 @@ def append_new(
     they are needed and never stored. Copies within ``df`` are kept unless ``dedupe``.
     ``keyed`` says that ``df`` carries compat keys of its own; a user's column may not have
     the key's name. Where types differ a ledger's columns widen to the common ones (``as_text``: to text
-    where there are no others), and rows are known by their content in those.
+    where there are no others), and rows are known by their content in those. ``index`` names a bucketed
+    table of a ledger's keys (see ``sources.keys``), kept up to date here, with which only ``df`` is shuffled;
+    a run that changes how values look does without it.
     """
     spark = df.sparkSession
     if not keyed:
@@ -62,13 +66,16 @@ def append_new(
         return status(ref, CREATED, create_table(new if stored else new.drop(KEY), ref))
 
     target = read_table(spark, ref, with_key=stored)
+    bucketed = index if stored else None
     if mode == "strict":
         plain, known = df.drop(KEY), target.drop(KEY)
         schema = widened_schema(known.schema, plain.schema, types=stored, as_text=as_text)
         df = conform(plain, schema)
         if stored and not keeps_text(known.schema, schema):
             target = with_row_key(conform(known, schema), mode)
-    unseen = find_unseen(df, target, mode, prune_on)
+            bucketed = None
+    keys = synced_keys(spark, ref, bucketed) if bucketed is not None else None
+    unseen = find_unseen(df, target, mode, prune_on, keys, bucketed.buckets if bucketed is not None else 0)
     if unseen.row_count == 0:
         return status(ref, UNCHANGED)
     new = unseen.rows.dropDuplicates([KEY]) if dedupe else unseen.rows
@@ -83,9 +90,10 @@ def land_table(
     dedupe: bool = False,
     prune_on: str | None = None,
     as_text: bool = False,
+    index: KeyIndex | None = None,
 ) -> Row:
     """Land one table: created when absent, else only unseen rows are appended."""
-    return append_new(read_table(spark, source), target, mode, dedupe, prune_on, as_text=as_text)
+    return append_new(read_table(spark, source), target, mode, dedupe, prune_on, as_text=as_text, index=index)
 
 
 def target_of(root: str | None, catalog: str, schema: str, table: str) -> TableRef:

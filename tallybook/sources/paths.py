@@ -29,6 +29,23 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files and folders in ``path``, sorted; empty when it is missing."""
+    fs, location = _locate(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(location)) if fs.exists(location) else []
+
+
+def make_mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, location = _locate(spark, path)
+    fs.create(location, True).close()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, location = _locate(spark, path)
+    fs.delete(location, True)
+
+
 def _beside(path: str, kind: str, tail: str = "") -> str:
     """A hidden folder next to ``path``, which listings of tables don't show."""
     parent, _, name = path.rstrip("/").rpartition("/")

@@ -61,7 +61,8 @@ def ledger_batches(spark: SparkSession, path: str) -> list[str]:
     return [f for f in folders if path_exists(spark, f"{f}/_SUCCESS")]
 
 
-def _generation(folder: str) -> int:
+def batch_generation(folder: str) -> int:
+    """How often the table's types had changed when a batch was written."""
     return int(folder.rpartition("/")[2].removeprefix(BATCH).partition(GENERATION)[2] or 0)
 
 
@@ -101,7 +102,7 @@ def _by_generation(spark: SparkSession, batches: list[str]) -> list[DataFrame]:
     """The batches of each generation, oldest first, in the types of its newest batch."""
     groups: dict[int, list[str]] = {}
     for folder in batches:
-        groups.setdefault(_generation(folder), []).append(folder)
+        groups.setdefault(batch_generation(folder), []).append(folder)
     newest = [spark.read.parquet(folders[-1]).schema for folders in groups.values()]
     return [spark.read.schema(s).parquet(*folders) for s, folders in zip(newest, groups.values(), strict=True)]
 
@@ -187,7 +188,7 @@ def append_table(df: DataFrame, ref: TableRef, evolve: bool = True, as_text: boo
         raise ValueError(f"{ref.name} lacks columns {[f.name for f in more]}")
     if ledger:
         key = [T.StructField(KEY, T.BinaryType())] if KEY in df.columns else []
-        generation = _generation(ledger_batches(spark, ref.path)[-1]) + (not keeps_text(current, merged))
+        generation = batch_generation(ledger_batches(spark, ref.path)[-1]) + (not keeps_text(current, merged))
         return _write_batch(conform(df, T.StructType(merged.fields + key)).hint("rebalance"), ref, generation)
     plain, written = _counted(conform(df.drop(KEY), merged).hint("rebalance"), ref)
     if ref.path is not None:
