@@ -105,5 +105,5 @@ def drop_keys(spark: SparkSession, index: KeyIndex) -> None:
         return
     prefix = f"{index.table}_g"
     for found in spark.catalog.listTables(f"{CATALOG}.{index.schema}"):
-        if found.name.startswith(prefix) and found.name.removeprefix(prefix).isdigit():
+        if not found.isTemporary and found.name.startswith(prefix) and found.name.removeprefix(prefix).isdigit():
             spark.sql(f"DROP TABLE {quoted_name(CATALOG, index.schema, found.name)}")
