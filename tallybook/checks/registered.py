@@ -26,6 +26,7 @@ from tallybook.operators.reshape import (
     select_available,
 )
 from tallybook.operators.rows import new_rows, union_sources
+from tallybook.operators.variants import variant_columns
 from tallybook.plans.assets import (
     ASSET_COLUMNS,
     GRANT_FIELDS,
@@ -40,6 +41,7 @@ from tallybook.plans.compute import compute_policy, payload_map
 from tallybook.plans.consolidation import consolidate_all, consolidate_table
 from tallybook.plans.landing import append_new, land_catalog, land_table
 from tallybook.plans.inventory import InventorySources, save_inventory
+from tallybook.plans.kept_stats import kept_table_stats
 from tallybook.plans.models import model_versions
 from tallybook.plans.reconcile import reconcile, reconcile_content
 from tallybook.plans.stats import (
@@ -66,8 +68,9 @@ from tallybook.sources.payloads import (
     read_page_chain,
     read_pages,
     read_payload,
+    read_variant_payload,
 )
-from tallybook.sources.tables import TableRef, load_view, read_table, replace_table
+from tallybook.sources.tables import TableRef, append_table, load_view, read_table, replace_table
 
 HOSTS = {"AZURE": ".azure.example.net", "AWS": ".aws.example.com"}
 
@@ -1381,3 +1384,69 @@ def land_replay_bucketed(src: Inputs) -> DataFrame:
     finally:
         src.spark.sql(f"DROP SCHEMA IF EXISTS spark_catalog.{schema} CASCADE")
     return src.spark.createDataFrame(found, "run int, action string, row_count long")
+
+
+# --- payloads whose keys are found ------------------------------------------------------
+
+
+@query(
+    """select p_partkey, p_brand as brand, cast(null as string) as policy_id,
+              case when p_size > 25 then cast(p_size as string) end as size, p_type as type
+       from {part}"""
+)
+def map_keys_to_columns(src: Inputs) -> DataFrame:
+    """As ``map_as_columns``, but the keys are those that the maps have."""
+    big = F.when(F.col("p_size") > 25, F.create_map(F.lit("size"), F.col("p_size").cast("string")))
+    always = F.create_map(F.lit("type"), "p_type", F.lit("brand"), "p_brand")
+    info = F.coalesce(F.map_concat(always, big), always).alias("info")
+    rows = src("part").select("p_partkey", info)
+    return map_to_columns(rows, "info", required=["policy_id"]).drop("info")
+
+
+@query(
+    """select id, user_name as "userName", active, cast(n_roles as string) as n_roles,
+              case when n_roles > 0 then segment || '_1' end as first_role,
+              case when n_emails > 1 then 'm2' end as second_type
+       from {fx_users}"""
+)
+def users_as_variant(src: Inputs) -> DataFrame:
+    """Users read without a schema, keys and types found; roles and addresses stay values."""
+    users = read_variant_payload(src.spark, src.json(_users(src), "users"))
+    found = variant_columns(users, "payload", required=["roles", "emails"])
+    roles = F.coalesce(F.size(F.variant_get("roles", "$", "array<variant>")), F.lit(0))
+    return found.select(
+        "id", "userName", "active", roles.cast("string").alias("n_roles"),
+        F.variant_get("roles", "$[0].value", "string").alias("first_role"),
+        F.variant_get("emails", "$[1].type", "string").alias("second_type"),
+    )
+
+
+# --- statistics kept between runs --------------------------------------------------------
+
+
+@query(
+    """select 1 as run, 'orders' as table_name, count(*) as row_count, true as counted
+         from {orders} where o_orderdate < '1997-01-01'
+       union all select 1, 'customer', count(*), true from {customer}
+       union all select 2, 'orders', count(*), true from {orders}
+       union all select 2, 'customer', count(*), true from {customer}
+       union all select 3, 'orders', count(*), false from {orders}
+       union all select 3, 'customer', count(*), false from {customer}"""
+)
+def kept_row_counts(src: Inputs) -> DataFrame:
+    """Statistics run before and after a table grows, and once more; ``counted``: whether a file was opened."""
+    orders = src.landed(src("orders").filter("o_orderdate < '1997-01-01'"), "orders")
+    registry = reg.registry_of(src.spark, [orders, src.file("customer")])
+    kept = TableRef("main", "hub", "file_stats", scratch_path(src.spark, "file_stats"))
+    found = []
+
+    def run(number: int) -> None:
+        stats, opened = kept_table_stats(src.spark, registry, kept)
+        counts = stats.select("table_name", "row_count").collect()
+        found.extend((number, r["table_name"], r["row_count"], opened > 0) for r in counts)
+
+    run(1)
+    append_table(src("orders").filter("o_orderdate >= '1997-01-01'"), orders)
+    run(2)
+    run(3)
+    return src.spark.createDataFrame(found, "run int, table_name string, row_count long, counted boolean")

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import quoted
 
+MAX_COLUMNS = 500
+"""As many columns as keys found in the data may become, unless the caller says otherwise."""
+
 
 def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[quoted(c).alias(f"{prefix}_{c}") for c in df.columns])
@@ -30,14 +33,38 @@ def map_key_set(df: DataFrame, map_col: str) -> DataFrame:
     return df.select(F.explode(F.map_keys(quoted(map_col))).alias("key")).distinct()
 
 
+def names_within(names: Sequence[str], others: Sequence[str], max_columns: int) -> list[str]:
+    """The names without repeats; an error if they are too many, or clash with each other or with ``others``."""
+    distinct = list(dict.fromkeys(names))
+    if len(distinct) > max_columns:
+        raise ValueError(f"more than {max_columns} keys, such as {distinct[:5]}: raise max_columns or name them")
+    taken = {c.lower() for c in others}
+    for name in distinct:
+        if name.lower() in taken:
+            raise ValueError(f"the key {name!r} clashes with another column or key")
+        taken.add(name.lower())
+    return distinct
+
+
 def map_to_columns(
-    df: DataFrame, map_col: str, keys: Sequence[str], keep: Sequence[str] = ()
+    df: DataFrame,
+    map_col: str,
+    keys: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+    required: Sequence[str] = (),
+    max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
-    """One string column per named map key, replacing a column of the same name unless in ``keep``.
+    """One string column per map key, replacing a column of the same name unless in ``keep``.
 
-    The keys become the schema, so they are the caller's to name; ``map_entries_long`` gives the
-    content of maps whose keys aren't known.
+    Without ``keys`` all keys that occur are taken, sorted, found by one pass that shuffles distinct keys
+    only; those that differ in case alone, or more than ``max_columns``, are an error. ``required``
+    keys are there at any rate. ``map_entries_long`` gives the content of maps with any number of keys.
     """
+    if keys is None:
+        seen = map_key_set(df, map_col).sort("key").limit(max_columns + 1).collect()
+        keys = names_within([*[r["key"] for r in seen], *required], (), max_columns)
+    else:
+        keys = [*keys, *required]
     names = [k for k in dict.fromkeys(keys) if k not in keep]
     kept = [quoted(c) for c in df.columns if c not in names]
     values = [F.try_element_at(quoted(map_col), F.lit(k)).alias(k) for k in names]
