@@ -33,16 +33,10 @@ from tallybook.llm.words import LOWER, Words, mixed, pieces
 SHARD_TOKENS = 4_000_000
 LEAST_SAVED = 4
 """A pair must be replaced this often to save more than its rule: two symbols and a length."""
-MAGIC = b"RPG2"
+MAGIC = b"RPG3"
 END_ID = 2
 
-_HEAD = struct.Struct("<4sIIIII")
-
-
-def _pair_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ordered = np.sort(keys)
-    at = np.flatnonzero(np.concatenate([[len(ordered) > 0], ordered[1:] != ordered[:-1]]))
-    return ordered[at], np.diff(np.concatenate([at, [len(ordered)]]))
+_HEAD = struct.Struct("<4sIIIIII")
 
 
 def compress(
@@ -54,52 +48,113 @@ def compress(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Symbols, where each document starts among them, rules (n x 2), and the first rule's symbol.
 
-    Each round counts all pairs of neighbours, makes rules of the most frequent (ties by their hash) and replaces them, the more frequent where two overlap; it ends when no pair can be
-    replaced ``least`` times.
+    Each round makes rules of the most frequent pairs (ties by their hash) and replaces them, the more
+    frequent where two overlap; it ends when no pair can be replaced ``least`` times.
+
+    Pairs are counted once. A round's new pairs all hold one of its own new symbols, so no older pair ever
+    becomes more frequent: each round counts the pairs that it makes, takes off those that it
+    breaks, and a pair that falls short of ``least`` when it is made is never looked at again.
     """
     symbols = ids.astype(np.uint32)
     starts = starts.astype(np.int64)
     base = int(symbols.max()) + 1 if len(symbols) else 0
+    known = _Pairs(symbols, starts, least)
     rules: list[np.ndarray] = []
     made = 0
     for _ in itertools.count() if rounds is None else range(rounds):
-        if len(symbols) < 2:
+        best = known.best(symbols, per_round)
+        if not len(best):
             break
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        valid = np.ones(len(keys), dtype=bool)
-        inner = starts[(starts > 0) & (starts < len(symbols))]
-        valid[inner - 1] = False
-        pairs, counts = _pair_counts(keys[valid])
-        doubled = _doubles(symbols, valid)
-        counts[np.searchsorted(pairs, doubled[0])] = doubled[1]
-        worth = np.flatnonzero(counts >= least)
-        if not len(worth):
-            break
-        tie = mixed(pairs[worth])
-        worth = worth[np.lexsort((tie, -counts[worth]))]
-        half = int(np.searchsorted(-counts[worth], -(counts[worth[0]] // 2), side="right"))
-        at, rule, chosen = _places(symbols, keys, valid, pairs[worth[:half][:per_round]], base + made, least)
-        symbols[at] = base + made + rule
-        keep = np.ones(len(symbols), dtype=bool)
-        keep[at + 1] = False
-        gone = np.concatenate([[0], np.cumsum(~keep)])
-        starts = starts - gone[starts]
-        symbols = symbols[keep]
-        rules.append(
-            np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
-        )
+        at, rule, chosen = known.places(symbols, best)
+        symbols, starts = known.replace(symbols, starts, at, base + made + rule)
+        pairs = known.keys[chosen]
+        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         made += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return symbols, starts, table, base
 
 
-def _doubles(symbols: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of a symbol and itself, and how often each can be replaced: they overlap."""
-    at = np.flatnonzero(valid & (symbols[:-1] == symbols[1:]))
-    keys = symbols[at].astype(np.uint64) * np.uint64((1 << 32) + 1)
-    take = _every_other(at)
-    found, counts = _pair_counts(keys[take])
-    return found, counts
+class _Pairs:
+    """The pairs that stand ``least`` times, how often, and which of them starts at each place (-1: none)."""
+
+    def __init__(self, symbols: np.ndarray, starts: np.ndarray, least: int):
+        self.least = least
+        self.keys = np.zeros(0, np.uint64)
+        self.counts = np.zeros(0, np.int64)
+        self.at = np.full(len(symbols), -1, np.int32)
+        self._count(symbols, starts, np.arange(max(len(symbols) - 1, 0)))
+
+    def _count(self, symbols: np.ndarray, starts: np.ndarray, places: np.ndarray) -> None:
+        """Number and count the pairs that start at these places, none of which is known."""
+        ends = starts[np.minimum(np.searchsorted(starts, places + 1), len(starts) - 1)] == places + 1
+        places = places[~ends]
+        keys = (symbols[places].astype(np.uint64) << np.uint64(32)) | symbols[places + 1]
+        found, number, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        often = counts >= self.least
+        fresh = np.where(often, len(self.keys) + np.cumsum(often) - 1, -1)
+        self.at[places] = fresh[number]
+        self.keys = np.concatenate([self.keys, found[often]])
+        self.counts = np.concatenate([self.counts, counts[often]])
+
+    def best(self, symbols: np.ndarray, most: int | None) -> np.ndarray:
+        """Pairs that can be replaced at least half as often as the one that can be most, that one first."""
+        counts = self.counts.copy()
+        twins = np.flatnonzero((symbols[:-1] == symbols[1:]) & (self.at[:-1] >= 0))
+        numbers = self.at[twins]
+        counts[numbers] = 0
+        np.add.at(counts, numbers[_every_other(twins)], 1)
+        top = int(counts.max(initial=0))
+        worth = np.flatnonzero(counts >= max(top // 2, self.least))
+        return worth[np.lexsort((mixed(self.keys[worth]), -counts[worth]))][:most]
+
+    def places(self, symbols: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where pairs are replaced, by which of those that are replaced ``least`` times, and these.
+
+        Where pairs overlap the one that stands first in ``best`` goes, so copies of a passage are
+        replaced alike, and the first of all is replaced wherever it can be.
+        """
+        order = np.argsort(self.keys[best])
+        chosen = best[order]
+        wanted = np.zeros(len(self.keys) + 1, dtype=bool)  # the last one is for -1
+        wanted[chosen] = True
+        slot = np.zeros(len(self.keys), np.int64)
+        slot[chosen] = np.arange(len(chosen))
+        at = np.flatnonzero(wanted[self.at])
+        rule = slot[self.at[at]]
+        twin = np.flatnonzero(symbols[at] == symbols[at + 1])
+        stays = np.ones(len(at), dtype=bool)
+        stays[twin[~_every_other(at[twin])]] = False
+        at, rule = at[stays], rule[stays]
+        rank = order[rule]
+        near = np.flatnonzero(np.diff(at) == 1)
+        first = rank[near] < rank[near + 1]
+        take = np.ones(len(at), dtype=bool)
+        take[near[~first]] = False
+        take[near[first] + 1] = False
+        at, rule = at[take], rule[take]
+        enough = np.bincount(rule, minlength=len(chosen)) >= self.least
+        number = np.cumsum(enough) - 1
+        take = enough[rule]
+        return at[take], number[rule[take]], chosen[enough]
+
+    def replace(
+        self, symbols: np.ndarray, starts: np.ndarray, at: np.ndarray, fresh: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and starts with the pairs at these places replaced by fresh symbols."""
+        apart = np.diff(at, prepend=-2) > 2  # else the pair before is the one after the last place
+        touched = np.concatenate([at, at + 1, at[apart & (at > 0)] - 1])
+        broken = self.at[touched]
+        np.subtract.at(self.counts, broken[broken >= 0], 1)
+        symbols[at] = fresh
+        self.at[touched] = -1
+        keep = np.ones(len(symbols), dtype=bool)
+        keep[at + 1] = False
+        symbols, self.at = symbols[keep], self.at[keep]
+        starts = starts - np.searchsorted(at + 1, starts)
+        now = at - np.arange(len(at))
+        apart = np.diff(now, prepend=-2) > 1
+        self._count(symbols, starts, np.concatenate([now[now < len(symbols) - 1], now[apart & (now > 0)] - 1]))
+        return symbols, starts
 
 
 def _every_other(at: np.ndarray) -> np.ndarray:
@@ -109,42 +164,6 @@ def _every_other(at: np.ndarray) -> np.ndarray:
     return (np.arange(len(at)) - run_start) % 2 == 0
 
 
-def _places(
-    symbols: np.ndarray, keys: np.ndarray, valid: np.ndarray, pairs: np.ndarray, size: int, least: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where pairs are replaced, by which of those that are replaced ``least`` times, and these.
-
-    Where pairs overlap the one that stands first in ``pairs`` goes, so copies of a passage are
-    replaced alike, and the first of all is replaced wherever it can be.
-    """
-    order = np.argsort(pairs)
-    chosen = pairs[order]
-    lefts = np.zeros(size, dtype=bool)
-    rights = np.zeros(size, dtype=bool)
-    lefts[chosen >> np.uint64(32)] = True
-    rights[chosen & np.uint64(0xFFFFFFFF)] = True
-    maybe = np.flatnonzero(valid & lefts[symbols[:-1]] & rights[symbols[1:]])
-    found = np.searchsorted(chosen, keys[maybe])
-    found[found == len(chosen)] = 0
-    hit = chosen[found] == keys[maybe]
-    at, rule = maybe[hit], found[hit]
-    twin = np.flatnonzero(symbols[at] == symbols[at + 1])
-    stays = np.ones(len(at), dtype=bool)
-    stays[twin[~_every_other(at[twin])]] = False
-    at, rule = at[stays], rule[stays]
-    rank = order[rule]
-    near = np.flatnonzero(np.diff(at) == 1)
-    first = rank[near] < rank[near + 1]
-    take = np.ones(len(at), dtype=bool)
-    take[near[~first]] = False
-    take[near[first] + 1] = False
-    at, rule = at[take], rule[take]
-    enough = np.bincount(rule, minlength=len(chosen)) >= least
-    number = np.cumsum(enough) - 1
-    take = enough[rule]
-    return at[take], number[rule[take]], chosen[enough]
-
-
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """How many ids each rule stands for; a rule only names ids and rules before it."""
     lengths = np.ones(len(rules), np.int64)
@@ -159,18 +178,26 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return lengths
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that the symbols stand for."""
-    while len(rules) and len(symbols) and int(symbols.max()) >= base:
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that the symbols stand for; ``lengths`` are those of the rules."""
+    lengths = expansion_lengths(rules, base) if lengths is None else lengths
+
+    def sizes(of: np.ndarray) -> np.ndarray:
+        found = np.ones(len(of), np.int64)
+        is_rule = of >= base
+        found[is_rule] = lengths[of[is_rule] - base]
+        return found
+
+    ends = np.cumsum(sizes(symbols))
+    ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+    places = np.concatenate([[0], ends[:-1]])[: len(symbols)]
+    while len(symbols):
         is_rule = symbols >= base
-        at = np.cumsum(1 + is_rule) - 1 - is_rule
-        wider = np.empty(int(at[-1]) + 1 + int(is_rule[-1]), np.uint32)
-        wider[at[~is_rule]] = symbols[~is_rule]
-        picked = rules[symbols[is_rule] - base]
-        wider[at[is_rule]] = picked[:, 0]
-        wider[at[is_rule] + 1] = picked[:, 1]
-        symbols = wider
-    return symbols
+        ids[places[~is_rule]] = symbols[~is_rule]
+        pairs, places = rules[symbols[is_rule] - base], places[is_rule]
+        places = np.concatenate([places, places + sizes(pairs[:, 0])])
+        symbols = pairs.T.ravel()
+    return ids
 
 
 _AT_ONCE = 1 << 16
@@ -196,11 +223,11 @@ def _widen(data: np.ndarray, n: int, width: int) -> np.ndarray:
     return found
 
 
-def pack(doc_ids: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> bytes:
-    """One shard as bytes. ``starts`` has one entry per document and one for the end."""
+def pack(doc_ids: np.ndarray, ids: np.ndarray, starts: np.ndarray, nulls: int = 0) -> bytes:
+    """One shard as bytes. ``starts`` has one entry per document and one for the end; the first ``nulls`` have no id."""
     symbols, places, rules, base = compress(ids, starts)
     width = (base + len(rules)).bit_length()
-    head = _HEAD.pack(MAGIC, len(doc_ids), len(ids), len(symbols), len(rules), base)
+    head = _HEAD.pack(MAGIC, len(doc_ids), len(ids), len(symbols), len(rules), base, nulls)
     body = b"".join(
         (
             head,
@@ -222,7 +249,7 @@ class Shard:
         body, (crc,) = payload[:-4], struct.unpack("<I", payload[-4:])
         if body[:4] != MAGIC or zlib.crc32(body) != crc:
             raise ValueError("not a whole shard")
-        _, docs, self.n_tokens, n_symbols, n_rules, base = _HEAD.unpack_from(body)
+        _, docs, self.n_tokens, n_symbols, n_rules, base, self.nulls = _HEAD.unpack_from(body)
         self.base = base
         width = (base + n_rules).bit_length()
         at = _HEAD.size
@@ -244,10 +271,11 @@ class Shard:
         self.symbols = wider(n_symbols)
 
     def all(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        return expand(self.symbols, self.rules, self.base, self.lengths)
 
     def document(self, row: int) -> np.ndarray:
-        return expand(self.symbols[self.places[row] : self.places[row + 1]], self.rules, self.base)
+        own = self.symbols[self.places[row] : self.places[row + 1]]
+        return expand(own, self.rules, self.base, self.lengths)
 
     def ids(self, row: int, first: int, last: int) -> np.ndarray:
         """Ids ``first`` to ``last`` (not included) of a document, expanding only symbols that touch them."""
@@ -260,7 +288,7 @@ class Shard:
         ends = np.cumsum(sizes)
         a, b = np.searchsorted(ends, first, side="right"), np.searchsorted(ends, last, side="left")
         before = int(ends[a - 1]) if a else 0
-        return expand(own[a : b + 1], self.rules, self.base)[first - before : last - before]
+        return expand(own[a : b + 1], self.rules, self.base, self.lengths)[first - before : last - before]
 
 
 # Byte-level BPE writes every byte as a visible character: those that are one stand for
@@ -350,17 +378,16 @@ def write_shards(
 ) -> None:
     """Encode ``doc_id, text`` in ascending ``doc_id`` order and write the shards under ``path``.
 
-    Documents are dealt by ranges of ``doc_id``. Null texts are empty and get the end id alone; a
-    null ``doc_id`` counts as the least id and is read back as the lowest 64-bit integer; repeated
-    ids stay as they are, in the order of their texts. Other columns aren't read.
+    Documents are dealt by ranges of ``doc_id`` and, where many rows have one, of their texts' hashes. Null
+    texts are empty and get the end id alone; a null ``doc_id`` comes before all others and is read back
+    as null; repeated ids stay as they are, in the order of those hashes. Other columns aren't read.
     """
-    least = F.lit(-(2**63)).cast("long")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), least).alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_deal"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder()
         part, shard, before = TaskContext.get().partitionId(), 0, 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
         size = 0
 
         def shut() -> pa.RecordBatch:
@@ -368,7 +395,8 @@ def write_shards(
             docs_of = np.concatenate([h[0] for h in held])
             ids = np.concatenate([h[1] for h in held])
             starts = np.concatenate([[0], np.cumsum(np.concatenate([h[2] for h in held]))])
-            row = [[part], [shard], [len(docs_of)], [len(ids)], [before], [pack(docs_of, ids, starts)]]
+            payload = pack(docs_of, ids, starts, sum(h[3] for h in held))
+            row = [[part], [shard], [len(docs_of)], [len(ids)], [before], [payload]]
             shard, before, held, size = shard + 1, before + len(ids), [], 0
             kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             names = ["part", "shard", "n_docs", "n_tokens", "before", "payload"]
@@ -378,7 +406,8 @@ def write_shards(
 
         for batch in pieces(batches):
             ids, starts = with_end(*words.encode(batch.column("text")), end_id)
-            doc_ids = batch.column("doc_id").to_numpy()
+            column = batch.column("doc_id")
+            nulls, doc_ids = column.null_count, column.fill_null(0).to_numpy()  # nulls come first
             first = 0
             while first < len(doc_ids):
                 room = starts[first] + max(shard_tokens - size, 0)
@@ -386,7 +415,8 @@ def write_shards(
                 last = max(last, first + (not held))
                 if last > first:
                     sizes = np.diff(starts[first : last + 1])
-                    held.append((doc_ids[first:last], ids[starts[first] : starts[last]], sizes))
+                    own = max(min(nulls, last) - first, 0)
+                    held.append((doc_ids[first:last], ids[starts[first] : starts[last]], sizes, own))
                     size += int(sizes.sum())
                     first = last
                 if first < len(doc_ids):
@@ -394,7 +424,8 @@ def write_shards(
         if held:
             yield shut()
 
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "_deal", "text"]
+    ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).drop("_deal")
     ordered.mapInArrow(run, SHARD_SCHEMA).write.parquet(path)
 
 
@@ -415,7 +446,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(n, batch.column("part")[i].as_py(), np.int32)),
-                        pa.array(shard.doc_ids),
+                        pa.array(shard.doc_ids, mask=np.arange(n) < shard.nulls),
                         pa.array(shard.starts[:-1] + batch.column("before")[i].as_py()),
                         pa.array(np.diff(shard.starts)),
                         pa.array(crc, pa.int64()),
@@ -444,6 +475,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 shard = Shard(batch.column("payload")[i].as_py())
                 flat = pa.array(shard.all().astype(np.int32))
                 lists = pa.ListArray.from_arrays(shard.starts.astype(np.int32), flat)
-                yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids), lists], ["doc_id", "ids"])
+                doc_ids = pa.array(shard.doc_ids, mask=np.arange(len(shard.doc_ids)) < shard.nulls)
+                yield pa.RecordBatch.from_arrays([doc_ids, lists], ["doc_id", "ids"])
 
     return shards.select("payload").mapInArrow(run, "doc_id long, ids array<int>")

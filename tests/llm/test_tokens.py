@@ -147,13 +147,13 @@ def shards_of(spark, docs, tmp_path, **more):
 def test_shards_hold_documents_in_order(spark, odd, tmp_path, shard_tokens):
     shards = shards_of(spark, odd, tmp_path, shard_tokens=shard_tokens)
     got = [tuple(r) for r in token_output.read_shards(shards).collect()]
-    whole, least = Tokenizer.from_file(PATH), -(2**63)
-    rows = sorted(((least if i is None else i), t or "") for i, t in odd_rows())
+    whole = Tokenizer.from_file(PATH)
+    rows = sorted(((i, t or "") for i, t in odd_rows()), key=lambda r: (r[0] is not None, r))
     want = []
     for doc_id, text in rows:
         ids = np.array([*whole.encode(text, add_special_tokens=False).ids, 2], "<u4")
         want.append((doc_id, len(ids), zlib.crc32(ids.tobytes())))
-    assert sorted((d, n, c) for d, _, n, c in got) == sorted(want)
+    assert sorted(((d, n, c) for d, _, n, c in got), key=repr) == sorted(want, key=repr)
     by_start = sorted(got, key=lambda r: r[1])
     assert [r[0] for r in by_start] == [r[0] for r in rows]
     assert [r[1] for r in by_start] == np.concatenate([[0], np.cumsum([r[2] for r in by_start])[:-1]]).tolist()
