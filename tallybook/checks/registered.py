@@ -71,6 +71,8 @@ from tallybook.sources.payloads import (
     read_variant_payload,
 )
 from tallybook.sources.tables import TableRef, append_table, load_view, read_table, replace_table
+from tallybook.streaming.distinct import keep_distinct
+from tallybook.streaming.landing import stream_table
 
 HOSTS = {"AZURE": ".azure.example.net", "AWS": ".aws.example.com"}
 
@@ -1450,3 +1452,24 @@ def kept_row_counts(src: Inputs) -> DataFrame:
     run(2)
     run(3)
     return src.spark.createDataFrame(found, "run int, table_name string, row_count long, counted boolean")
+
+
+# --- distinct values kept between runs ---------------------------------------------------
+
+
+@query(ORACLES["running_workspaces"])
+def running_workspaces_kept(src: Inputs) -> DataFrame:
+    """Running workspaces from triples that two runs over a growing usage log have kept."""
+    usage, triple = src("fx_usage"), ["account_id", "workspace_id", "cloud"]
+    log, checkpoint = scratch_path(src.spark, "usage"), scratch_path(src.spark, "usage-checkpoint")
+    kept = src.ledger("running")
+    early = F.pmod(F.xxhash64(*triple), F.lit(2)) == 0
+    for day, rows in enumerate((usage.filter(early), usage)):
+        rows.write.parquet(f"{log}/day={day}")
+        stream = stream_table(src.spark, log, usage.schema)
+        keep_distinct(stream, triple, kept, checkpoint).awaitTermination()
+    running = workspace_inventory(_workspaces(src), read_table(src.spark, kept), HOSTS)
+    return running.select(
+        "account_id", "workspace_id", "deployment_name", "workspace_name", "creation_time",
+        "cloud", "deployment_url",
+    )

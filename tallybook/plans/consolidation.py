@@ -61,10 +61,11 @@ def consolidate_all(
     dedupe: bool = False,
     prune_on: Mapping[str, str] | None = None,
     as_text: bool = False,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Find the source catalogs and consolidate each of their tables; the target itself is
     never a source. Without a ``target_root`` the targets are tables of the catalog ``target``.
-    ``prune_on`` names a column by ``schema.table``."""
+    ``prune_on`` names a column by ``schema.table``; ``time_limit`` is the seconds that a table may take."""
     prune_on = prune_on or {}
     sources = discover_sources(registry, include, exclude, targets=[target])
     wanted = registry.join(sources, "catalog", "left_semi")
@@ -78,4 +79,4 @@ def consolidate_all(
         bound = prune_on.get(f"{schema}.{table}")
         return goal, lambda: consolidate_table(spark, refs, goal, mode, dedupe, bound, as_text)
 
-    return each_table(spark, map(merging, sorted(groups.items())), fail_fast, workers)
+    return each_table(spark, map(merging, sorted(groups.items())), fail_fast, workers, time_limit)

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from tallybook.functions import KEY
 from tallybook.operators.rows import conform, find_unseen, reject_key_name, widened_schema, with_row_key
 from tallybook.operators.types import keeps_text
+from tallybook.plans.guarded import run_guarded
 from tallybook.sources.keys import KeyIndex, synced_keys
 from tallybook.sources.registry import EXCLUDED_TABLES, apply_name_exclusions, to_refs
 from tallybook.sources.tables import (
@@ -106,22 +106,19 @@ def each_table(
     work: Iterable[tuple[TableRef, Callable[[], Row]]],
     fail_fast: bool,
     workers: int,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Run one landing per table, several at a time so that small tables do not queue up
     behind each other, and return a status row each. A failed table does not stop the
-    others unless ``fail_fast``."""
-
-    def run(item: tuple[TableRef, Callable[[], Row]]) -> Row:
-        ref, task = item
-        try:
-            return task()
-        except Exception as error:
-            if fail_fast:
-                raise
-            return status(ref, FAILED, error=f"{type(error).__name__}: {error}")
-
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = list(pool.map(run, work))
+    others unless ``fail_fast``: then their jobs are ended and the failure is raised. A table that
+    takes more than ``time_limit`` seconds is ended, which its row says; what it had not committed
+    does not count."""
+    items = list(work)
+    found = run_guarded(spark, [(ref.name, task) for ref, task in items], workers, time_limit, fail_fast)
+    rows = [
+        status(ref, FAILED, error=f"{type(got).__name__}: {got}") if isinstance(got, Exception) else got
+        for (ref, _), got in zip(items, found, strict=True)
+    ]
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -140,13 +137,14 @@ def land_catalog(
     dedupe: bool = False,
     prune_on: Mapping[str, str] | None = None,
     as_text: bool = False,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Land every table of a catalog; ``rename`` maps schema names, such as that of the
     information schema, which the target catalog has of its own.
 
     Targets are ledgers under ``target_root``, or tables of the catalog ``target`` without one.
     ``prune_on`` names, by ``schema.table`` of the source, the column that bounds what is read of
-    the target.
+    the target. ``time_limit`` is the seconds that a table may take.
     """
     rename = rename or {}
     prune_on = prune_on or {}
@@ -159,4 +157,4 @@ def land_catalog(
         bound = prune_on.get(f"{ref.schema}.{ref.table}")
         return goal, lambda: land_table(spark, ref, goal, mode, dedupe, bound, as_text)
 
-    return each_table(spark, map(landing, refs), fail_fast, workers)
+    return each_table(spark, map(landing, refs), fail_fast, workers, time_limit)
