@@ -8,8 +8,9 @@ space marker U+2581 and the leading dummy space are put in as the normaliser say
 No piece of a usable model has a marker after another character, so no piece reaches over the
 place in front of a run of spaces. Texts are cut there and each distinct part is encoded once;
 a model without that property is refused. (Characters that stand in no piece of more than one
-character end a part as well.) ``verify=True`` compares the ids of all distinct parts with the
-sentencepiece library and raises on the first difference.
+character end a part as well.) ``verify=True`` compares the ids of distinct parts with the
+sentencepiece library and raises on the first difference: of those that begin with a space and hold
+more than it and no U+2581, which are the ones that the library can be given alone.
 """
 
 from __future__ import annotations
