@@ -128,10 +128,11 @@ def within_range_of(target: DataFrame, source: DataFrame, column: str) -> DataFr
 
 @dataclass(frozen=True)
 class Unseen:
-    """Rows of a source that a target lacks, with their keys, and the number of them."""
+    """Rows of a source that a target lacks, with their keys, and the numbers of rows and of keys."""
 
     rows: DataFrame
     row_count: int
+    key_count: int
 
 
 def find_unseen(
@@ -172,9 +173,9 @@ def find_unseen(
         unseen = copies.join(known.distinct(), KEY, "left_anti")
     else:
         unseen = keys_not_in_buckets(copies, bucketed, buckets)
-    keys, _ = materialise(unseen, "unseen-keys")
+    keys, key_count = materialise(unseen, "unseen-keys")
     row_count = keys.agg(F.sum("_rows")).first()[0] or 0
-    return Unseen(keyed.join(keys.select(KEY), KEY, "left_semi"), row_count)
+    return Unseen(keyed.join(keys.select(KEY), KEY, "left_semi"), row_count, key_count)
 
 
 def keys_not_in_buckets(keys: DataFrame, bucketed: DataFrame, buckets: int) -> DataFrame:

@@ -79,7 +79,9 @@ def append_new(
     if unseen.row_count == 0:
         return status(ref, UNCHANGED)
     new = unseen.rows.dropDuplicates([KEY]) if dedupe else unseen.rows
-    return status(ref, APPENDED, append_table(new if stored else new.drop(KEY), ref, as_text=as_text))
+    rows = unseen.key_count if dedupe else unseen.row_count
+    added = append_table(new if stored else new.drop(KEY), ref, as_text=as_text, row_count=rows)
+    return status(ref, APPENDED, added)
 
 
 def land_table(

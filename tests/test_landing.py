@@ -198,3 +198,17 @@ def test_whole_catalogs_land_in_a_catalog(spark, named, plain):
 def test_a_source_column_named_like_the_key_is_refused(spark, goal):
     with pytest.raises(ValueError, match="reserved"):
         append_new(spark.range(2).withColumn("_Row_Key", F.lit(1)), goal)
+
+
+def test_a_large_batch_is_not_shuffled_to_be_packed(spark, tmp_path, monkeypatch):
+    from tallybook.sources import tables
+
+    seen = []
+    write = tables._write_batch
+    monkeypatch.setattr(tables, "_write_batch", lambda df, *rest: seen.append("Rebalance" in df._jdf.queryExecution().analyzed().toString()) or write(df, *rest))
+    monkeypatch.setattr(tables, "PACKED_ROWS", 100 / spark.sparkContext.defaultParallelism)
+    goal = tables.TableRef.under(str(tmp_path / "hub"), "land", "s", "t")
+    done = [append_new(spark.range(n).withColumn("x", F.col("id") * 2), goal) for n in (10, 20, 500, 500)]
+    assert [(r["action"], r["row_count"]) for r in done] == [("created", 10), ("appended", 10), ("appended", 480), ("unchanged", 0)]
+    assert seen == [False, True, False]
+    assert tables.read_table(spark, goal).count() == 500
