@@ -2,7 +2,8 @@
 
 Pages of all chains are followed at once by doubling: what is known of the pages within 2^k steps, and
 where each page leads after 2^k steps, gives both for 2^(k+1). So a chain of a million pages takes
-some twenty rounds, each a few joins on hashed keys and written to the shared folder.
+some twenty rounds, each a few joins and written to the shared folder. Pages are numbered first, so
+that the rounds move two numbers a page whatever chains and tokens look like.
 """
 
 from __future__ import annotations
@@ -41,29 +42,33 @@ def page_positions(pages: DataFrame, chain: Sequence[str], token: str, next_toke
     token is NULL or empty. A page served with two different next tokens leads to both. Loops end
     where a page would be reached again. Pages that nothing leads to don't appear.
     """
-    links = _links(pages, chain, token, next_token)
-    here, _ = materialise(links.select("chain", "page").distinct(), "chain-pages")
-    jumps = links.filter("next IS NOT NULL").join(
-        here.select(F.col("chain").alias("c"), F.col("page").alias("n")),
-        F.col("chain").eqNullSafe(F.col("c")) & (F.col("next") == F.col("n")),
-        "left_semi",
+    links, _ = materialise(_links(pages, chain, token, next_token), "chain-links")
+    named = links.select("chain", "page").distinct().withColumn("id", F.monotonically_increasing_id())
+    here, n_pages = materialise(named, "chain-pages")  # written, so that a page keeps its number
+    onward = links.filter("next IS NOT NULL").join(
+        here.select(F.col("chain").alias("c"), F.col("page").alias("p"), "id"), _on("chain", "page", "c", "p")
     )
-    jumps, n_jumps = materialise(jumps, "chain-jumps")
-    known, _ = materialise(here.filter(F.col("page") == FIRST).withColumn("position", F.lit(0).cast("long")), "chain-known")
+    onward = onward.select("chain", F.col("next").alias("to"), F.col("id").alias("from"))
+    jumps = onward.join(here, (F.col("to") == F.col("page")) & onward["chain"].eqNullSafe(here["chain"]))
+    jumps, n_jumps = materialise(jumps.select(F.col("from"), F.col("id").alias("next")), "chain-jumps")
+    # Where every page leads to one at most, so does every longer jump, and none is there twice.
+    single = jumps.select("from").distinct().count() == n_jumps
+    start = here.filter(F.col("page") == FIRST).select("id", F.lit(0).cast("long").alias("position"))
+    known, n_known = materialise(start, "chain-known")
     steps = 1
     while n_jumps:
-        led = known.join(jumps.withColumnsRenamed({"chain": "c", "page": "p"}), _on("chain", "page", "c", "p"))
-        led = led.select("chain", F.col("next").alias("page"), (F.col("position") + steps).alias("position"))
-        both = known.unionByName(led).groupBy("chain", "page").agg(F.min("position").alias("position"))
-        before = known.count()
+        led = known.join(jumps, F.col("id") == F.col("from"))
+        led = led.select(F.col("next").alias("id"), (F.col("position") + steps).alias("position"))
+        before = n_known
+        both = known.unionByName(led).groupBy("id").agg(F.min("position").alias("position"))
         known, n_known = materialise(both, "chain-known")
-        if n_known == before:
+        if n_known in (before, n_pages):
             break
-        second = jumps.select(F.col("chain").alias("c"), F.col("page").alias("p"), F.col("next").alias("then"))
-        twice = jumps.join(second, _on("chain", "next", "c", "p")).select("chain", "page", F.col("then").alias("next"))
-        jumps, n_jumps = materialise(twice.distinct(), "chain-jumps")
+        second = jumps.select(F.col("from").alias("middle"), F.col("next").alias("then"))
+        twice = jumps.join(second, F.col("next") == F.col("middle")).select("from", F.col("then").alias("next"))
+        jumps, n_jumps = materialise(twice if single else twice.distinct(), "chain-jumps")
         steps *= 2
-    return known
+    return materialise(here.join(known, "id").select("chain", "page", "position"), "chain-positions")[0]
 
 
 def _on(chain: str, page: str, other_chain: str, other_page: str):

@@ -1,5 +1,6 @@
 import pytest
 
+from tallybook.operators import chains
 from tallybook.operators.chains import in_page_order, page_faults, page_positions
 
 SCHEMA = "c string, token string, next string, item int"
@@ -61,3 +62,15 @@ def test_nulls_in_chain_names_and_no_pages(spark):
 def test_lengths_around_powers_of_two(spark, length):
     df = pages(spark, [("a", f"t{i}" if i else None, f"t{i + 1}" if i < length - 1 else None) for i in range(length)])
     assert positions(df) == sorted(("a", f"t{i}" if i else "", i) for i in range(length))
+
+
+def test_rounds_move_numbers_alone(spark, monkeypatch):
+    """However long names and tokens are; and a page that leads to two still gets its fewest steps."""
+    seen = []
+    write = chains.materialise
+    monkeypatch.setattr(chains, "materialise", lambda df, label: seen.append((label, df.dtypes)) or write(df, label))
+    long = "x" * 500
+    rows = [("a" + long, None, long), ("a" + long, None, "t9"), ("a" + long, long, "t9"), ("a" + long, "t9", None)]
+    assert sorted((page, n) for _, page, n in positions(pages(spark, rows))) == [("", 0), ("t9", 1), (long, 1)]
+    rounds = [dtypes for label, dtypes in seen if label in ("chain-jumps", "chain-known")]
+    assert len(rounds) >= 3 and all(kind == "bigint" for dtypes in rounds for _, kind in dtypes)
