@@ -6,9 +6,11 @@ wherever it stands. A cache of bounded size holds the ids of the parts met so fa
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
 from tallybook.llm.words import span_bytes, span_hashes
 
@@ -17,9 +19,13 @@ CACHED_PARTS = 1_000_000
 
 
 class PartIds:
-    """``encode`` turns a list of parts into their lists of ids."""
+    """``encode`` turns a list of parts into their lists of ids, or into all ids end to end and the lengths."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = CACHED_PARTS):
+    def __init__(
+        self,
+        encode: Callable[[list[bytes]], list[list[int]] | tuple[np.ndarray, np.ndarray]],
+        limit: int = CACHED_PARTS,
+    ):
         self.encode, self.limit = encode, limit
         self._clear()
 
@@ -33,8 +39,11 @@ class PartIds:
         if len(self.hashes) + len(hashes) > self.limit:
             self._clear()
         found = self.encode(parts)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        if isinstance(found, tuple):
+            flat, lengths = found
+        else:
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
         starts = len(self.flat) + np.cumsum(lengths) - lengths
         self.flat = np.concatenate([self.flat, flat])
         at = np.searchsorted(self.hashes, hashes)
@@ -48,9 +57,12 @@ class PartIds:
         """Ids of all the given spans of ``raw`` in order, and how many each has."""
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        distinct, first, number = np.unique(
-            span_hashes(raw, starts, ends), return_index=True, return_inverse=True
-        )
+        coded = pa.array(span_hashes(raw, starts, ends)).dictionary_encode()  # numbered as they are met
+        met, place = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        seen = np.empty(len(met), np.int64)
+        seen[place[::-1]] = np.arange(len(place) - 1, -1, -1)
+        order = np.argsort(met)
+        distinct, first = met[order], seen[order]
         at = np.searchsorted(self.hashes, distinct)
         new = np.ones(len(distinct), dtype=bool)
         known = at < len(self.hashes)
@@ -60,7 +72,9 @@ class PartIds:
             new[:] = True
         if new.any():
             self._learn(distinct[new], span_bytes(raw, starts[first[new]], ends[first[new]]))
-        at = np.searchsorted(self.hashes, distinct)[number]
+        at = np.empty(len(met), np.int64)
+        at[order] = np.searchsorted(self.hashes, distinct)
+        at = at[place]
         lengths = self.lengths[at]
         return self.flat[ranges(self.starts[at], lengths)], lengths
 

@@ -15,6 +15,7 @@ committer makes repeated tasks safe, and any store that Spark writes to will do.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import itertools
 import struct
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.parts import PartIds
+from tallybook.llm.parts import PartIds, ranges
 from tallybook.llm.words import LOWER, Words, mixed, pieces
 
 SHARD_TOKENS = 4_000_000
@@ -56,58 +57,101 @@ def compress(
     breaks, and a pair that falls short of ``least`` when it is made is never looked at again.
     """
     symbols = ids.astype(np.uint32)
-    starts = starts.astype(np.int64)
     base = int(symbols.max()) + 1 if len(symbols) else 0
-    known = _Pairs(symbols, starts, least)
+    known = _Pairs(symbols, starts.astype(np.int64), least)
     rules: list[np.ndarray] = []
     made = 0
     for _ in itertools.count() if rounds is None else range(rounds):
-        best = known.best(symbols, per_round)
+        best = known.best(per_round)
         if not len(best):
             break
-        at, rule, chosen = known.places(symbols, best)
-        symbols, starts = known.replace(symbols, starts, at, base + made + rule)
+        at, rule, chosen = known.places(best)
+        known.replace(at, rule, base + made)
         pairs = known.keys[chosen]
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         made += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    return symbols, starts, table, base
+    return *known.left(), table, base
 
 
 class _Pairs:
-    """The pairs that stand ``least`` times, how often, and which of them starts at each place (-1: none)."""
+    """The pairs that stand ``least`` times, how often, and where.
+
+    Symbols stay where they are and know the places before and after them, so a round touches only what it
+    replaces. All places of a pair are listed when it is made; ``at`` says which pair still starts at a
+    place (-1: none).
+    """
 
     def __init__(self, symbols: np.ndarray, starts: np.ndarray, least: int):
-        self.least = least
-        self.keys = np.zeros(0, np.uint64)
-        self.counts = np.zeros(0, np.int64)
-        self.at = np.full(len(symbols), -1, np.int32)
-        self._count(symbols, starts, np.arange(max(len(symbols) - 1, 0)))
-
-    def _count(self, symbols: np.ndarray, starts: np.ndarray, places: np.ndarray) -> None:
-        """Number and count the pairs that start at these places, none of which is known."""
-        ends = starts[np.minimum(np.searchsorted(starts, places + 1), len(starts) - 1)] == places + 1
-        places = places[~ends]
-        keys = (symbols[places].astype(np.uint64) << np.uint64(32)) | symbols[places + 1]
-        found, number, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        n = len(symbols)
+        self.least, self.symbols, self.starts = least, symbols, starts
+        self.next, self.before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+        self.first = np.zeros(n + 1, dtype=bool)
+        self.first[starts] = self.first[n] = True
+        self.live = np.ones(n, dtype=bool)
+        self.at = np.full(n, -1, np.int32)
+        self.keys, self.twin = np.zeros(0, np.uint64), np.zeros(0, dtype=bool)
+        self.counts, self.begin, self.size = (np.zeros(0, np.int64) for _ in range(3))
+        self.listed, self.n_listed = np.zeros(n, np.int32), 0
+        self._count(np.arange(n))
+
+    def _count(self, places: np.ndarray) -> None:
+        """Number, count and list the pairs that start at these places, none of which is known."""
+        places = places[~self.first[self.next[places]]]
+        if not len(places):
+            return
+        a, b = self.symbols[places].astype(np.uint64), self.symbols[self.next[places]].astype(np.uint64)
+        width, wide = (int(max(a.max(), b.max())).bit_length() or 1), len(self.symbols).bit_length()
+        keys = (a << np.uint64(width)) | b
+        if 2 * width + wide <= 64:  # one sort of plain numbers is much faster than one of their order
+            both = np.sort((keys << np.uint64(wide)) | places.astype(np.uint64))
+            keys, places = both >> np.uint64(wide), (both & np.uint64((1 << wide) - 1)).astype(np.int64)
+        else:
+            order = np.lexsort((places, keys))
+            keys, places = keys[order], places[order]
+        fresh = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.concatenate([fresh, [len(keys)]]))
         often = counts >= self.least
-        fresh = np.where(often, len(self.keys) + np.cumsum(often) - 1, -1)
-        self.at[places] = fresh[number]
-        self.keys = np.concatenate([self.keys, found[often]])
-        self.counts = np.concatenate([self.counts, counts[often]])
-
-    def best(self, symbols: np.ndarray, most: int | None) -> np.ndarray:
+        listed, counts, keys = places[np.repeat(often, counts)], counts[often], keys[fresh[often]]
+        a, b = keys >> np.uint64(width), keys & np.uint64((1 << width) - 1)
+        self.at[listed] = np.repeat(np.arange(len(self.keys), len(self.keys) + len(keys)), counts)
+        if self.n_listed + len(listed) > len(self.listed):
+            more = np.zeros(max(len(self.listed), len(listed)), np.int32)
+            self.listed = np.concatenate([self.listed, more])
+        self.listed[self.n_listed : self.n_listed + len(listed)] = listed
+        self.begin = np.concatenate([self.begin, self.n_listed + np.cumsum(counts) - counts])
+        self.n_listed += len(listed)
+        self.size = np.concatenate([self.size, counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.keys = np.concatenate([self.keys, (a << np.uint64(32)) | b])
+        self.twin = np.concatenate([self.twin, a == b])
+
+    def _where(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places where these pairs start now, ascending, and which of them does."""
+        size = self.size[pairs]
+        places = self.listed[ranges(self.begin[pairs], size)]
+        which = np.repeat(np.arange(len(pairs)), size)
+        still = self.at[places] == pairs[which]
+        both = np.sort((places[still].astype(np.int64) << 32) | which[still])
+        return both >> 32, both & 0xFFFFFFFF
+
+    def _every_other(self, at: np.ndarray) -> np.ndarray:
+        """Of ascending places, the first, third, ... of each run of neighbours."""
+        fresh = np.concatenate([[True], self.next[at[:-1]] != at[1:]])[: len(at)]
+        run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+        return (np.arange(len(at)) - run_start) % 2 == 0
+
+    def best(self, most: int | None) -> np.ndarray:
         """Pairs that can be replaced at least half as often as the one that can be most, that one first."""
         counts = self.counts.copy()
-        twins = np.flatnonzero((symbols[:-1] == symbols[1:]) & (self.at[:-1] >= 0))
-        numbers = self.at[twins]
-        counts[numbers] = 0
-        np.add.at(counts, numbers[_every_other(twins)], 1)
+        twins = np.flatnonzero(self.twin & (counts >= self.least))
+        at, which = self._where(twins)
+        counts[twins] = np.bincount(which[self._every_other(at)], minlength=len(twins))
         top = int(counts.max(initial=0))
         worth = np.flatnonzero(counts >= max(top // 2, self.least))
         return worth[np.lexsort((mixed(self.keys[worth]), -counts[worth]))][:most]
 
-    def places(self, symbols: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def places(self, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where pairs are replaced, by which of those that are replaced ``least`` times, and these.
 
         Where pairs overlap the one that stands first in ``best`` goes, so copies of a passage are
@@ -115,18 +159,13 @@ class _Pairs:
         """
         order = np.argsort(self.keys[best])
         chosen = best[order]
-        wanted = np.zeros(len(self.keys) + 1, dtype=bool)  # the last one is for -1
-        wanted[chosen] = True
-        slot = np.zeros(len(self.keys), np.int64)
-        slot[chosen] = np.arange(len(chosen))
-        at = np.flatnonzero(wanted[self.at])
-        rule = slot[self.at[at]]
-        twin = np.flatnonzero(symbols[at] == symbols[at + 1])
+        at, rule = self._where(chosen)
+        twin = np.flatnonzero(self.twin[chosen][rule])
         stays = np.ones(len(at), dtype=bool)
-        stays[twin[~_every_other(at[twin])]] = False
+        stays[twin[~self._every_other(at[twin])]] = False
         at, rule = at[stays], rule[stays]
         rank = order[rule]
-        near = np.flatnonzero(np.diff(at) == 1)
+        near = np.flatnonzero(self.next[at[:-1]] == at[1:])
         first = rank[near] < rank[near + 1]
         take = np.ones(len(at), dtype=bool)
         take[near[~first]] = False
@@ -137,31 +176,26 @@ class _Pairs:
         take = enough[rule]
         return at[take], number[rule[take]], chosen[enough]
 
-    def replace(
-        self, symbols: np.ndarray, starts: np.ndarray, at: np.ndarray, fresh: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols and starts with the pairs at these places replaced by fresh symbols."""
-        apart = np.diff(at, prepend=-2) > 2  # else the pair before is the one after the last place
-        touched = np.concatenate([at, at + 1, at[apart & (at > 0)] - 1])
+    def replace(self, at: np.ndarray, rule: np.ndarray, fresh: int) -> None:
+        """Replace the pairs at these places by the symbols from ``fresh`` on."""
+        gone = self.next[at]
+        self.live[gone] = False
+        back = self.before[at[self.before[at] >= 0]]
+        touched = np.concatenate([at, gone, back[self.live[back]]])
         broken = self.at[touched]
-        np.subtract.at(self.counts, broken[broken >= 0], 1)
-        symbols[at] = fresh
+        self.counts -= np.bincount(broken[broken >= 0], minlength=len(self.counts))
         self.at[touched] = -1
-        keep = np.ones(len(symbols), dtype=bool)
-        keep[at + 1] = False
-        symbols, self.at = symbols[keep], self.at[keep]
-        starts = starts - np.searchsorted(at + 1, starts)
-        now = at - np.arange(len(at))
-        apart = np.diff(now, prepend=-2) > 1
-        self._count(symbols, starts, np.concatenate([now[now < len(symbols) - 1], now[apart & (now > 0)] - 1]))
-        return symbols, starts
-
+        self.symbols[at] = rule + fresh
+        self.next[at] = after = self.next[gone]
+        inside = after < len(self.symbols)
+        self.before[after[inside]] = at[inside]
+        back = self.before[at]
+        back = back[back >= 0]
+        self._count(np.concatenate([at, back[self.symbols[back] < fresh]]))
 
-def _every_other(at: np.ndarray) -> np.ndarray:
-    """Of ascending places, the first, third, ... of each run of neighbours."""
-    fresh = np.concatenate([[True], np.diff(at) > 1])[: len(at)]
-    run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-    return (np.arange(len(at)) - run_start) % 2 == 0
+    def left(self) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that are left, and where each document starts among them."""
+        return self.symbols[self.live], np.concatenate([[0], np.cumsum(self.live)])[self.starts]
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -295,6 +329,7 @@ class Shard:
 # themselves, the others for the characters from U+0100 on, in order.
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _MARKS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_MARKED = "".join(chr(_MARKS.get(b, b)) for b in range(256))
 
 
 class WordBpe:
@@ -314,22 +349,38 @@ class WordBpe:
         self.letter = ((byte >= 65) & (byte <= 90)) | ((byte >= 97) & (byte <= 122))
         self.plain = (byte < 128) & (byte > 32) & ~self.letter & ~((byte >= 48) & (byte <= 57))
 
-    def _encode(self, parts: list[bytes]) -> list[list[int]]:
-        texts = [p.decode("utf-8") for p in parts]
-        found: list[list[int]] = [[]] * len(texts)
-        odd = []
-        model = self.tokenizer.model
-        for i, text in enumerate(texts):
-            if text.isalpha() and max(text) <= "\xff":
-                lower = text.lower()
-                marks = lower if lower.isascii() else lower.encode().decode("latin-1").translate(_MARKS)
-                found[i] = [t.id for t in model.tokenize(marks)]
-            else:
-                odd.append(i)
-        rows = self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False)
-        for i, row in zip(odd, rows, strict=True):
-            found[i] = row.ids
-        return found
+    def _encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts end to end, and how many each has.
+
+        Parts of Latin letters alone are one word to the library: they are lowered and written in visible
+        characters all at once, for its model alone. The others go through the whole tokenizer.
+        """
+        raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+        ends = np.flatnonzero(raw == 0x0A)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        lead = np.concatenate([[False], raw[:-1] == 0xC3])
+        second = lead & (raw != 0x97) & (raw != 0xB7)  # all of U+00C0 to U+00FF but two are letters
+        fine = self.letter[raw] | second
+        fine[:-1] |= (raw[:-1] == 0xC3) & second[1:]
+        fine[ends] = True
+        word = np.logical_and.reduceat(fine, starts) & (ends > starts)
+        lower = np.where(second & (raw >= 0x80) & (raw <= 0x9E), raw + np.uint8(0x20), LOWER[raw])
+
+        body = lower[np.repeat(word, ends - starts + 1)]
+        words = codecs.charmap_decode(body.tobytes(), "strict", _MARKED)[0].split(_MARKED[0x0A])[:-1]
+        rows = list(map(self.tokenizer.model.tokenize, words))
+        odd = self.tokenizer.encode_batch_fast(
+            [parts[i].decode("utf-8") for i in np.flatnonzero(~word).tolist()], add_special_tokens=False
+        )
+        found = [r.ids for r in odd]
+        lengths = np.empty(len(parts), np.int64)
+        lengths[word] = np.fromiter(map(len, rows), np.int64, len(rows))
+        lengths[~word] = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.empty(int(lengths.sum()), np.uint32)
+        of_word = np.repeat(word, lengths)
+        ids[of_word] = np.fromiter((t.id for row in rows for t in row), np.uint32, int(lengths[word].sum()))
+        ids[~of_word] = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths[~word].sum()))
+        return ids, lengths
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text starts."""
@@ -337,23 +388,25 @@ class WordBpe:
         starts, ends = words.starts, words.ends
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(words.offsets), np.int64)
-        angle = np.logical_or.reduceat(words.raw == 0x3C, starts)
+        angle = np.zeros(len(starts), dtype=bool)
+        angle[np.searchsorted(starts, np.flatnonzero(words.raw == 0x3C), side="right") - 1] = True
         raw = LOWER[words.raw]
         for a, b in zip(starts[angle].tolist(), ends[angle].tolist(), strict=True):
             raw[a:b] = words.raw[a:b]
-        other = np.where(self.plain[raw], -1, np.arange(len(raw)))
-        core = np.maximum(np.maximum.reduceat(other, starts) + 1, starts)
+        more = np.flatnonzero(self.plain[raw[ends - 1]] & ~angle)
+        other = np.flatnonzero(~self.plain[raw])
+        last = np.searchsorted(other, ends[more])
+        core = np.concatenate([[0], other + 1])[last]
         before = raw[np.maximum(core - 1, 0)]
         two = raw[np.maximum(core - 2, 0)]
         latin = (two == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
-        split = (core > starts) & (core < ends) & (self.letter[before] | latin) & ~angle
-        cut = np.where(split, core, ends)
-        at = np.empty(2 * len(starts), np.int64)
-        to = np.empty_like(at)
-        at[0::2], to[0::2], at[1::2], to[1::2] = starts, cut, cut, ends
+        split = (core > starts[more]) & (self.letter[before] | latin)
+        more, cut = more[split], core[split]
+        at = np.insert(starts, more + 1, cut)
+        to = np.insert(ends, more, cut)
         ids, lengths = self.parts.ids(raw, at, to)
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        return ids, upto[2 * words.offsets]
+        return ids, upto[words.offsets + np.searchsorted(more, words.offsets)]
 
 
 @functools.cache

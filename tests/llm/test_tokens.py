@@ -113,6 +113,17 @@ def test_special_tokens_and_case():
         assert parts.encode(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_punctuation_is_no_part_of_a_word():
+    """A word is encoded once, whatever follows it, in the middle of a text as well as at its end."""
+    words = token_output.WordBpe(PATH)
+    texts = ["one, two. three### one two, three", "Éa! éa, one###", "#### a1, ,"]
+    ids, starts = words.encode(pa.array(texts))
+    whole = Tokenizer.from_file(PATH)
+    for i, text in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(words.parts.hashes) == len({"one", "two", "three", "éa", "Éa", ",", ".", "###", "!", "####", "a1,"})
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 5), max_size=60), max_size=6), st.integers(1, 4))
 def test_grammar_gives_back_every_id(docs, least):
