@@ -192,33 +192,36 @@ def equal_groups(raw: np.ndarray, at: np.ndarray, group: np.ndarray, size: int)
     ordered by the new groups, and by place within them where ``at`` was.
     """
     eight = _digits(raw)
-    item = np.arange(len(at))
+    item, place = np.arange(len(at)), at.copy()
     edge = np.concatenate([[True], group[1:] != group[:-1]])[: len(at)]
 
-    def several(item: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        alone = edge & np.concatenate([edge[1:], [True]])[: len(edge)]
-        return (item[~alone], edge[~alone]) if alone.any() else (item, edge)
+    def alone() -> np.ndarray:
+        return edge & np.concatenate([edge[1:], [True]])[: len(edge)]
 
-    item, edge = several(item, edge)
     for depth in range(0, size, 8):
+        single = alone()
+        if 8 * np.count_nonzero(single) > len(item):  # few of them may stay: they differ from none of their group
+            item, place, edge = item[~single], place[~single], edge[~single]
         if not len(item):
             break
-        digit = eight[at[item] + depth].byteswap()
+        digit = eight[depth:][place]
         if size - depth < 8:
-            digit >>= np.uint64(8 * (8 - size + depth))
-        head = np.flatnonzero(edge)
-        number = np.cumsum(edge) - 1
-        differs = digit != digit[head][number]
-        if not differs.any():
+            digit <<= np.uint64(8 * (8 - size + depth))
+        differs = np.flatnonzero((digit[1:] != digit[:-1]) & ~edge[1:])
+        if not len(differs):
             continue
-        mixed_up = np.zeros(len(head), dtype=bool)
-        mixed_up[number[differs]] = True
-        todo = np.flatnonzero(mixed_up[number])
-        order = todo[np.lexsort((digit[todo], number[todo]))]
-        item[todo], digit[todo] = item[order], digit[order]
-        edge[1:] |= (digit[1:] != digit[:-1]) & (number[1:] == number[:-1])
-        item, edge = several(item, edge)
-    return item, np.cumsum(edge) - 1
+        head = np.append(np.flatnonzero(edge), len(item))
+        mixed_up = (np.cumsum(edge, dtype=np.int32) - 1)[differs]
+        mixed_up = mixed_up[np.concatenate([[True], mixed_up[1:] != mixed_up[:-1]])]
+        counts = head[mixed_up + 1] - head[mixed_up]
+        todo = ranges(head[mixed_up], counts)
+        number = np.repeat(np.arange(len(counts)), counts)
+        order = np.lexsort((digit[todo].byteswap(), number))
+        moved = todo[order]
+        item[todo], place[todo], digit = item[moved], place[moved], digit[moved]
+        edge[todo[1:][digit[1:] != digit[:-1]]] = True
+    several = ~alone()
+    return item[several], np.cumsum(edge[several]) - 1
 
 
 def settle(runs: Runs, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

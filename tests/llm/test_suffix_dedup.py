@@ -135,3 +135,20 @@ def test_groups_are_those_of_equal_strings(body, size):
     for p in at.tolist():
         places[raw[p : p + size].tobytes()].append(p)
     assert [sorted(x) for _, x in sorted(found.items())] == [x for _, x in sorted(places.items()) if len(x) > 1]
+
+
+@pytest.mark.parametrize("size", [64, 67, 200])
+def test_passes_of_digits_give_the_groups_of_equal_strings(size):
+    rng = np.random.default_rng(size)
+    word = rng.integers(97, 99, 400).astype(np.uint8)
+    raw = np.concatenate([np.concatenate([word, rng.integers(97, 99, k).astype(np.uint8)]) for k in range(5, 40)])
+    raw[rng.integers(0, len(raw), 30)] = 120
+    at = rng.permutation(len(raw) - size)
+    group = np.sort(rng.integers(0, 3, len(at)))
+    item, which = equal_groups(raw, at, group, size)
+    strings = {}
+    for i, (a, g) in enumerate(zip(at.tolist(), group.tolist(), strict=True)):
+        strings.setdefault((g, raw[a : a + size].tobytes()), []).append(i)
+    wanted = [own for _, own in sorted(strings.items()) if len(own) > 1]
+    assert len(wanted) > 100
+    assert [own.tolist() for own in np.split(item, np.flatnonzero(np.diff(which)) + 1)] == wanted
