@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from tallybook.llm import components, language_id, quality_classifier, queries, sampling, toxicity
+from tallybook.session import materialise
 from tests.llm.conftest import odd_rows, prose
 
 SF = "/root/testdata/sf0.01"
@@ -193,3 +194,25 @@ def test_links_that_do_not_settle_end_the_job(spark):
     with pytest.raises(RuntimeError, match="settled"):
         components.components(chain, most_rounds=2)
     assert {r["root"] for r in components.components(chain).collect()} == {0}
+
+
+def test_a_sample_is_chosen_from_few_files_however_many_tasks_join(spark, tables, monkeypatch):
+    many = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in many}
+    written = []
+
+    def kept(df, label):
+        written.append(materialise(df, label))
+        return written[-1]
+
+    monkeypatch.setattr(sampling, "materialise", kept)
+    try:
+        for key, value in many.items():
+            spark.conf.set(key, value)
+        rows, counts = sampling.labelled_sample(tables("documents"), tables("labels"), "toxic", 100)
+        assert rows.count() and sum(counts.values()) == written[0][1]
+        assert len(written[0][0].inputFiles()) <= sampling.LEAST_FILES
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
