@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 import pyarrow as pa
 
@@ -30,3 +32,13 @@ def test_gaps_of_any_width():
         size, data = sketch._gaps(np.array(cells, np.uint32))
         assert sketch._from_gaps(data, size).tolist() == cells
     assert isinstance(pa.array([1]), pa.Array)
+
+
+def test_a_worker_holds_the_bits_once():
+    packed = {k: pa.compress(np.full(1 << 13, k + 1, np.uint8), codec="zstd", asbytes=True) for k in (0, 1)}
+    none = np.zeros(0, np.uint32)
+    sent = pickle.loads(pickle.dumps(sketch.Sketch(16, 2, packed, none, none)))
+    rows = [row.tolist() for row in sent.rows()]
+    assert rows == [[1] * (1 << 13), [2] * (1 << 13)]
+    assert not sent.bits
+    assert [row.tolist() for row in pickle.loads(pickle.dumps(sent)).rows()] == rows
